@@ -204,7 +204,7 @@ def store_texts(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_co
 _FEATURES = pa.schema([("digest", pa.string()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
 
 
-def read_media(places: DataFrame, *, stretch: int = 4_000_000) -> DataFrame:
+def read_media(places: DataFrame, *, stretch: int = 4_000_000, task_bytes: int = 64_000_000) -> DataFrame:
     """Read stored images back, in order of their place, and compute what is asked of them.
 
     ``places`` has ``digest, uri, at, n``. A stretch of a container is one unit of work.
@@ -231,7 +231,10 @@ def read_media(places: DataFrame, *, stretch: int = 4_000_000) -> DataFrame:
         if file is not None:
             file.close()
 
-    spots = places.select("digest", "uri", "at", "n").distinct().repartition("uri", F.floor(F.col("at") / stretch)).sortWithinPartitions("uri", "at")
+    spots = places.select("digest", "uri", "at", "n").distinct()
+    total = places.agg(F.sum("n")).first()[0] or 0
+    tasks = max(places.sparkSession.sparkContext.defaultParallelism, -(-total // task_bytes))
+    spots = spots.repartition(tasks, "uri", F.floor(F.col("at") / stretch)).sortWithinPartitions("uri", "at")
     return spots.mapInArrow(read, "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 

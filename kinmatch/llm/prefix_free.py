@@ -37,7 +37,8 @@ from kinmatch.llm.common import byte_views, drop_table, get_file, mix64, open_fs
 DEPTH = 50
 TRIGGER = 20
 BLOCK_BYTES = 2_000_000
-GROUP_BYTES = 24_000_000
+GROUP_BYTES = 8_000_000
+SORT_STRINGS = 500_000
 _POS = 22  # bits of a place in a block
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15
@@ -295,33 +296,56 @@ def _deal_phrases(groups: int, folder: str):
     return deal
 
 
-def sort_dictionary(text: np.ndarray, more: np.ndarray, docs: np.ndarray) -> np.ndarray:
+def sort_dictionary(text: np.ndarray, more: np.ndarray, docs: np.ndarray, at_once: int = SORT_STRINGS) -> np.ndarray:
     """For each suffix of each phrase (``more + 1`` of them): does its string start in a smaller document?
 
     ``text`` has the phrases one after the other. Suffixes are sorted to the depth of a string;
-    neighbours that are equal to that depth are one string of the corpus.
+    neighbours that are equal to that depth are one string of the corpus. Strings with the same
+    trigger are sorted together, as many triggers at once as make ``at_once`` strings.
     """
-    unpack_begin = np.cumsum(more + DEPTH) - (more + DEPTH)
-    starts = stretches(unpack_begin, more + 1)
-    owner = np.repeat(docs, more + 1)
-    strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, DEPTH)[starts]).view(f"V{DEPTH}").ravel()
-    order = _lexicographic(strings)
-    ordered = strings[order]
-    at = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+    begin = np.cumsum(more + DEPTH) - (more + DEPTH)
+    trigger = np.minimum.reduceat(np.append(rolling(text, TRIGGER), np.full(TRIGGER, 2**64 - 1, np.uint64)), np.stack([begin, begin + DEPTH - TRIGGER + 1], axis=1).ravel())[::2] >> np.uint64(24)
+    order = np.argsort(trigger, kind="stable")
+    bounds = runs(trigger[order])
+    strings = np.concatenate([[0], np.cumsum(more[order] + 1)])
+    heads = _eight_bytes(text)
+    answer_at = np.cumsum(more + 1) - (more + 1)
+    out = np.empty(int(strings[-1]), bool)
+    here = 0
+    while here < len(bounds) - 1:
+        upto = max(here + 1, int(np.searchsorted(strings[bounds], strings[bounds[here]] + at_once, "right")) - 1)
+        own = order[bounds[here] : bounds[upto]]
+        starts = stretches(begin[own], more[own] + 1)
+        out[stretches(answer_at[own], more[own] + 1)] = _later(heads, starts, np.repeat(docs[own], more[own] + 1))
+        here = upto
+    return out
+
+
+def _eight_bytes(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number whose order is theirs."""
+    n = max(0, len(text) - 7)
+    out = np.zeros(n, np.uint64)
+    for i in range(8):
+        out = (out << np.uint64(8)) | text[i : i + n]
+    return out
+
+
+def _later(heads: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Sort the strings at ``starts``; which ones have an equal of a smaller owner?"""
+    words = [heads[starts + i] for i in (0, 8, 16, 24, 32, 40, DEPTH - 8)]
+    order = np.lexsort(words[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for word in words:
+        ordered = word[order]
+        new[1:] |= ordered[1:] != ordered[:-1]
+    at = np.flatnonzero(new)
     least = np.minimum.reduceat(owner[order], at)
     out = np.empty(len(starts), bool)
     out[order] = np.repeat(least, np.diff(np.append(at, len(starts)))) < owner[order]
     return out
 
 
-def _lexicographic(strings: np.ndarray) -> np.ndarray:
-    """The order of strings of 50 bytes: by eight bytes at a time from the last to the first."""
-    padded = np.zeros((len(strings), 56), np.uint8)
-    padded[:, :DEPTH] = strings.view(np.uint8).reshape(len(strings), DEPTH)
-    words = padded.view(">u8").astype(np.uint64)
-    return np.lexsort([words[:, i] for i in range(words.shape[1] - 1, -1, -1)])
-
-
 def _which_came_later(table: pa.Table) -> pa.Table:
     """Merge a group's dictionaries, sort their suffixes, answer each block's phrases."""
     unpack = zstandard.ZstdDecompressor().decompress

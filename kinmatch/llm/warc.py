@@ -229,11 +229,11 @@ def _index(batches: Iterator[pa.RecordBatch], range_bytes: int) -> Iterator[pa.R
 _RECORD = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
 
 
-def read_archives(archives: DataFrame, *, payload: bool = True, range_bytes: int = 2_000_000) -> DataFrame:
+def read_archives(archives: DataFrame, *, payload: bool = True, range_bytes: int = 2_000_000, task_bytes: int = 64_000_000) -> DataFrame:
     """The records of packed archives, by central directory, index and byte ranges.
 
-    ``archives`` has ``uri`` and ``bytes``. A task reads ranges of about ``range_bytes``, so a
-    large archive is spread over tasks.
+    ``archives`` has ``uri`` and ``bytes``. Ranges of about ``range_bytes`` are dealt to tasks of
+    about ``task_bytes``, so a large archive is spread.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +249,9 @@ def read_archives(archives: DataFrame, *, payload: bool = True, range_bytes: int
                 made = pa.RecordBatch.from_pylist(out, schema=_RECORD)
                 yield made if payload else made.select([n for n in _RECORD.names if n != "payload"])
 
-    ranges = archives.select("uri", "bytes").mapInArrow(lambda b: _index(b, range_bytes), "uri string, start long, lengths array<long>").repartition("uri", "start")
+    total = archives.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, -(-total // task_bytes))
+    ranges = archives.select("uri", "bytes").mapInArrow(lambda b: _index(b, range_bytes), "uri string, start long, lengths array<long>").repartition(tasks, "uri", "start")
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
     return ranges.mapInArrow(read, schema + ", payload binary" if payload else schema)
 
