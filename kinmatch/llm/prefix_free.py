@@ -37,7 +37,7 @@ from kinmatch.llm.common import byte_views, drop_table, get_file, mix64, open_fs
 DEPTH = 50
 TRIGGER = 20
 BLOCK_BYTES = 2_000_000
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 6_000_000
 SORT_STRINGS = 500_000
 _POS = 22  # bits of a place in a block
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -61,24 +61,18 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def rolling(text: np.ndarray, width: int) -> np.ndarray:
-    """A hash of each ``width`` bytes, put together from hashes of half as many."""
+    """A hash of each ``width`` bytes, put together from hashes of 1, 2, 4 .. bytes."""
+    out, done, have, part = None, 0, 1, _TABLE[text]
     with np.errstate(over="ignore"):
-        have, part = 1, _TABLE[text]
-        powers = {1: part}
-        while have * 2 <= width:
-            factor = np.uint64(pow(_BASE, have, 2**64))
-            part = part[:-have] * factor + part[have:]
+        while True:
+            if width & have:
+                n = max(0, len(text) - done - have + 1)
+                out = part if out is None else out[:n] * np.uint64(pow(_BASE, have, 2**64)) + part[done : done + n]
+                done += have
+            if have * 2 > width:
+                return mix64(out)
+            part = part[:-have] * np.uint64(pow(_BASE, have, 2**64)) + part[have:]
             have *= 2
-            powers[have] = part
-        done, out = 0, np.zeros(0, np.uint64)
-        for size in sorted((s for s in powers if width & s), reverse=True):
-            if not done:
-                out = powers[size]
-            else:
-                n = len(text) - done - size + 1
-                out = out[:n] * np.uint64(pow(_BASE, size, 2**64)) + powers[size][done : done + n]
-            done += size
-    return mix64(out)
 
 
 # ---------------------------------------------------------------- blocks
