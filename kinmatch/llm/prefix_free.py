@@ -103,7 +103,7 @@ class Parse:
         cut = np.concatenate([[True], (at[start[1:]] != at[start[:-1]]) | (doc[1:] != doc[:-1]), [True]])
         bounds = np.flatnonzero(cut)
         self.first, self.last, self.doc = start[bounds[:-1]], start[bounds[1:] - 1], doc[bounds[:-1]]
-        self.trigger = hashes[at[self.first]]
+        self.trigger = mix64(hashes[at[self.first]])  # least hashes are small: mixed again, they deal evenly
 
     def triggers(self) -> tuple[np.ndarray, np.ndarray]:
         """The block's distinct triggers (40 bits, ascending), and which are in two documents."""
