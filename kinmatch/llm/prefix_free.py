@@ -42,6 +42,7 @@ SORT_STRINGS = 500_000
 _POS = 22  # bits of a place in a block
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15
+_CHUNK = 1 << 15
 
 
 # ---------------------------------------------------------------- packing of arrays
@@ -75,6 +76,17 @@ def rolling(text: np.ndarray, width: int) -> np.ndarray:
             have *= 2
 
 
+def phrase_names(text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of each phrase: of its first and last string, which cover it, and its length."""
+    strings = np.empty((2, len(first)), np.uint64)
+    for places, out in zip((first, last), strings, strict=True):
+        cut = np.searchsorted(places, np.arange(0, len(text) + _CHUNK, _CHUNK))  # phrases come in order
+        for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+            if b > a:
+                out[a:b] = rolling(text[i * _CHUNK : (i + 1) * _CHUNK + DEPTH - 1], DEPTH)[places[a:b] - i * _CHUNK]
+    return mix64(strings[0] ^ mix64(strings[1] + (last - first).astype(np.uint64)))
+
+
 # ---------------------------------------------------------------- blocks
 
 
@@ -89,10 +101,12 @@ class Parse:
         self.first, self.last, self.doc, self.trigger = empty, empty, empty, np.zeros(0, np.uint64)
         if n <= 0:
             return
-        hashes = rolling(self.text, TRIGGER)
-        places = np.arange(len(hashes), dtype=np.uint64)
-        least = sliding_min((hashes & ~np.uint64((1 << _POS) - 1)) | places, DEPTH - TRIGGER + 1)
-        at = (least & np.uint64((1 << _POS) - 1)).astype(np.int64)
+        hashes, at = np.empty(len(self.text) - TRIGGER + 1, np.uint64), np.empty(n, np.int64)
+        for c in range(0, n, _CHUNK):  # portions that stay in the processor's cache
+            own = rolling(self.text[c : c + _CHUNK + DEPTH - 1], TRIGGER)
+            hashes[c : c + len(own)] = own
+            least = sliding_min((own & ~np.uint64((1 << _POS) - 1)) | np.arange(len(own), dtype=np.uint64), DEPTH - TRIGGER + 1)
+            at[c : c + len(least)] = (least & np.uint64((1 << _POS) - 1)).astype(np.int64) + c
         # a string must end in the document that it starts in, and the document must have an id
         room = np.repeat(self.ends, lengths)[:n] - np.arange(n) >= DEPTH
         room &= np.repeat(valid, lengths)[:n]
@@ -120,15 +134,14 @@ class Parse:
 
     def distinct(self, phrases: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each distinct phrase one that lies in its smallest document; for each phrase, which one."""
-        strings = rolling(self.text, DEPTH)
         first, last = self.first[phrases], self.last[phrases]
-        order = np.lexsort((ids[self.doc[phrases]], last - first, strings[last], strings[first], self.trigger[phrases]))
-        f, s = phrases[order], self.last[phrases[order]] - self.first[phrases[order]]
-        same = np.concatenate([[False], (strings[self.first[f[1:]]] == strings[self.first[f[:-1]]]) & (strings[self.last[f[1:]]] == strings[self.last[f[:-1]]]) & (s[1:] == s[:-1])]) if len(f) else np.zeros(0, bool)
-        group = np.cumsum(~same) - 1
-        back = np.empty(len(f), np.int64)
-        back[order] = group
-        return f[~same], back
+        name = phrase_names(self.text, first, last)
+        order = np.lexsort((ids[self.doc[phrases]], name, self.trigger[phrases]))
+        new = np.ones(len(order), bool)
+        new[1:] = name[order[1:]] != name[order[:-1]]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.cumsum(new) - 1
+        return phrases[order[new]], back
 
     def take(self, phrases: np.ndarray) -> np.ndarray:
         """The phrases' bytes, one after the other."""
@@ -298,7 +311,7 @@ def sort_dictionary(text: np.ndarray, more: np.ndarray, docs: np.ndarray, at_onc
     trigger are sorted together, as many triggers at once as make ``at_once`` strings.
     """
     begin = np.cumsum(more + DEPTH) - (more + DEPTH)
-    trigger = np.minimum.reduceat(np.append(rolling(text, TRIGGER), np.full(TRIGGER, 2**64 - 1, np.uint64)), np.stack([begin, begin + DEPTH - TRIGGER + 1], axis=1).ravel())[::2] >> np.uint64(24)
+    trigger = triggers_of(text, begin)
     order = np.argsort(trigger, kind="stable")
     bounds = runs(trigger[order])
     strings = np.concatenate([[0], np.cumsum(more[order] + 1)])
@@ -315,6 +328,16 @@ def sort_dictionary(text: np.ndarray, more: np.ndarray, docs: np.ndarray, at_onc
     return out
 
 
+def triggers_of(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The trigger (40 bits) of the phrases that begin at these places: the least hash of their first string."""
+    width, out = DEPTH - TRIGGER + 1, np.empty(len(begin), np.uint64)
+    cut = np.searchsorted(begin, np.arange(0, len(text) + _CHUNK, _CHUNK))
+    for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+        if b > a:
+            out[a:b] = sliding_min(rolling(text[i * _CHUNK : (i + 1) * _CHUNK + DEPTH - 1], TRIGGER), width)[begin[a:b] - i * _CHUNK]
+    return out >> np.uint64(24)
+
+
 def _eight_bytes(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on, as a number whose order is theirs."""
     n = max(0, len(text) - 7)
@@ -350,17 +373,22 @@ def _which_came_later(table: pa.Table) -> pa.Table:
     sizes = np.concatenate(more)
     begin = np.cumsum(sizes + DEPTH) - (sizes + DEPTH)
     # one entry for each distinct phrase, with its smallest document
-    hashes = rolling(text, DEPTH)
-    order = np.lexsort((docs, sizes, hashes[begin + sizes], hashes[begin]))
-    b, s = begin[order], sizes[order]
-    same = np.concatenate([[False], (hashes[b[1:]] == hashes[b[:-1]]) & (hashes[b[1:] + s[1:]] == hashes[b[:-1] + s[:-1]]) & (s[1:] == s[:-1])])
-    heads = order[~same]
-    later = sort_dictionary(text[stretches(begin[heads], sizes[heads] + DEPTH)], sizes[heads], docs[heads])
+    name, trigger = phrase_names(text, begin, begin + sizes), triggers_of(text, begin)
+    order = np.lexsort((docs, name, trigger))
+    new = np.ones(len(order), bool)
+    new[1:] = (name[order[1:]] != name[order[:-1]]) | (trigger[order[1:]] != trigger[order[:-1]])
+    heads = order[new]
     entry = np.empty(len(order), np.int64)
-    entry[order] = np.cumsum(~same) - 1
+    entry[order] = np.cumsum(new) - 1
+    # a phrase that is alone with its trigger has no string in common with others
+    bounds = runs(trigger[heads])
+    several = np.flatnonzero(np.repeat(np.diff(bounds) > 1, np.diff(bounds)))
     bits = np.zeros(len(heads), np.uint64)
-    offset = stretches(np.zeros(len(heads), np.int64), sizes[heads] + 1).astype(np.uint64)
-    np.bitwise_or.at(bits, np.repeat(np.arange(len(heads)), sizes[heads] + 1), later.astype(np.uint64) << offset)
+    if len(several):
+        mine = heads[several]
+        later = sort_dictionary(text[stretches(begin[mine], sizes[mine] + DEPTH)], sizes[mine], docs[mine])
+        offset = stretches(np.zeros(len(mine), np.int64), sizes[mine] + 1).astype(np.uint64)
+        bits[several] = np.bitwise_or.reduceat(later.astype(np.uint64) << offset, np.cumsum(sizes[mine] + 1) - (sizes[mine] + 1))
     whole = (np.uint64(2) << sizes.astype(np.uint64)) - np.uint64(1)
     answer = np.where(docs > docs[heads][entry], whole, bits[entry]).astype("<u4")
     cut = np.cumsum(counts)[:-1]
@@ -386,8 +414,8 @@ def _cut(flag_folder: str, bit_folder: str):
                 place = stretches(parse.first[shared], size + 1)
                 offset = stretches(np.zeros(len(shared), np.int64), size + 1)
                 hit = place[(np.repeat(mask.astype(np.uint64), size + 1) >> offset.astype(np.uint64)) & np.uint64(1) == 1]
-                np.add.at(steps, hit, 1)
-                np.add.at(steps, hit + DEPTH, -1)
+                steps += np.bincount(hit, minlength=len(steps)).astype(np.int32)
+                steps -= np.bincount(hit + DEPTH, minlength=len(steps)).astype(np.int32)
             gone = np.cumsum(steps[:-1]) > 0
             ends = np.cumsum(lengths)
             out = []
