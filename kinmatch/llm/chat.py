@@ -31,28 +31,39 @@ def _header(speaker: Column, own: Column) -> Column:
 
 
 def perspectives(messages: DataFrame, *, dialogue: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text", block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """``conv_id, perspective, position, turn, speaker, segment, char_start, char_end, loss_start, loss_end``."""
+    """``conv_id, perspective, position, turn, speaker, segment, char_start, char_end, loss_start, loss_end``.
+
+    Where a block begins follows from counts by (dialogue, block, speaker) alone: a participant's
+    own messages are longer or shorter by the difference of the two headers. Texts are shuffled
+    once, to their blocks.
+    """
     said = messages.select(
         F.col(dialogue).alias("conv_id"),
         F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(speaker).cast("string"), F.lit("unknown")).alias("speaker"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"),
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-(2**62))).cast("long"))
-    people = said.filter(F.col("speaker") != SYSTEM).select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")).distinct()
-    blocks = said.select(F.col("conv_id").alias("c"), F.col("block").alias("b")).distinct()
-    views = blocks.join(people.withColumnRenamed("c", "c2"), F.col("c").eqNullSafe(F.col("c2"))).drop("c2")
-    seen = said.join(views, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
-    own = F.col("speaker") == F.col("perspective")
-    seen = seen.withColumns({"own": own, "header": _header(F.col("speaker"), own)}).withColumn("segment", F.concat("header", "body", F.lit(f"{CLOSE}\n")))
-    inside = Window.partitionBy("conv_id", "block", "perspective").orderBy(F.col("turn").asc_nulls_first(), "speaker", "body").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = seen.withColumns({"at": F.count(F.lit(1)).over(inside), "upto": F.sum(F.length("segment")).over(inside)})
-    before = Window.partitionBy("c", "p").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        seen.groupBy(F.col("conv_id").alias("c"), F.col("perspective").alias("p"), F.col("block").alias("b"))
-        .agg(F.max("at").alias("n"), F.max("upto").alias("chars"))
-        .select("c", "p", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("chars0"))
+    ).withColumns(
+        {
+            "k": F.coalesce(F.concat(F.lit("id "), F.col("conv_id").cast("string")), F.lit("null")),
+            "block": F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-(2**62))).cast("long"),
+        }
     )
-    laid = seen.join(bases, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("perspective") == F.col("p")) & (F.col("block") == F.col("b")))
+    tail = F.length(F.lit(f"{CLOSE}\n"))
+    by_speaker = said.groupBy("k", "block", "speaker").agg(F.count(F.lit(1)).alias("own"), F.sum(F.length(_header(F.col("speaker"), F.lit(False))) + F.length("body") + tail).alias("chars"))
+    people = by_speaker.filter(F.col("speaker") != SYSTEM).select("k", F.col("speaker").alias("perspective")).distinct()
+    blocks = by_speaker.groupBy("k", "block").agg(F.sum("own").alias("n"), F.sum("chars").alias("chars"))
+    own = by_speaker.select("k", "block", F.col("speaker").alias("perspective"), "own")
+    views = blocks.join(people, "k").join(own, ["k", "block", "perspective"], "left")
+    before = Window.partitionBy("k", "perspective").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    change = F.length(_header(F.col("perspective"), F.lit(True))) - F.length(_header(F.col("perspective"), F.lit(False)))
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    bases = views.select("k", "block", F.struct("perspective", earlier("n").alias("n0"), (earlier("chars") + change * earlier(F.coalesce("own", F.lit(0)))).alias("chars0")).alias("base"))
+    bases = bases.groupBy("k", "block").agg(F.collect_list("base").alias("bases"))
+    seen = said.join(bases, ["k", "block"]).withColumn("base", F.explode("bases")).select("k", "block", "conv_id", "turn", "speaker", "body", "base.*")
+    is_own = F.col("speaker") == F.col("perspective")
+    seen = seen.withColumn("own", is_own).withColumn("header", _header(F.col("speaker"), F.col("own"))).withColumn("segment", F.concat("header", "body", F.lit(f"{CLOSE}\n")))
+    inside = Window.partitionBy("k", "block", "perspective").orderBy(F.col("turn").asc_nulls_first(), "speaker", "body").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    laid = seen.withColumns({"at": F.count(F.lit(1)).over(inside), "upto": F.sum(F.length("segment")).over(inside)})
     end = F.col("chars0") + F.col("upto")
     laid = laid.withColumns({"char_end": end.cast("long"), "char_start": (end - F.length("segment")).cast("long")})
     return laid.select(
