@@ -116,6 +116,38 @@ def _scan_rows(items, width: int):
     return rows
 
 
+def _rounds(benchmark: DataFrame, item_id: str, item_text: str, automaton_bytes: int) -> tuple[DataFrame, int]:
+    """The items with the part of the benchmark that each belongs to, and the number of parts."""
+    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("name"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("body"))
+    total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    rounds = max(1, -(-total // automaton_bytes))
+    return items.withColumn("part", F.pmod(F.xxhash64("name", "body"), F.lit(rounds))).distinct(), rounds
+
+
+def _items_of(items: DataFrame, part: int):
+    """A part, broadcast; its size is bounded by what :func:`_rounds` was given."""
+    own = [(r["name"], r["body"].encode("utf-8", "surrogatepass")) for r in items.filter(F.col("part") == part).collect()]
+    return items.sparkSession.sparkContext.broadcast(own)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10, automaton_bytes: int = 8_000_000) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs; nothing is shuffled."""
+    items, rounds = _rounds(benchmark, item_id, item_text, automaton_bytes)
+    place = docs.columns.index(text_col)
+    for part in range(rounds):
+        own = _items_of(items, part)
+
+        def clean(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
+            auto = Automaton(own.value, width)
+            for batch in batches:
+                yield batch.filter(pa.array([not auto.scan(normal_words(t))[1] for t in byte_views(batch.column(place))], pa.bool_()))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+        if part + 1 < rounds:
+            docs = write_table(docs, "clean")
+    return docs
+
+
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10, automaton_bytes: int = 8_000_000
 ) -> DataFrame:
@@ -125,15 +157,10 @@ def find_contamination(
     text. A larger benchmark is dealt into that many parts by hash and the documents are scanned
     once a part, with a written table between the rounds; hits add up, so the result is the same.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("name"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("body"))
-    total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    rounds = max(1, -(-total // automaton_bytes))
-    items = items.withColumn("part", F.pmod(F.xxhash64("name", "body"), F.lit(rounds)))
+    items, rounds = _rounds(benchmark, item_id, item_text, automaton_bytes)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     for part in range(rounds):
-        own = [(r["name"], r["body"].encode("utf-8", "surrogatepass")) for r in items.filter(F.col("part") == part).distinct().collect()]
-        scan = _scan_rows(spark.sparkContext.broadcast(own), width)
+        scan = _scan_rows(_items_of(items, part), width)
         if part + 1 == rounds and part == 0:
             rows = rows.mapInArrow(scan, _SCHEMA)
         else:

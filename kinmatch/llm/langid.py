@@ -111,8 +111,8 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ma
     counted = rows.mapInArrow(count, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
     totals = {(r["lang"], r["n"]): r["total"] for r in counted.groupBy("lang", "n").agg(F.sum("times").alias("total")).collect()}
     langs = sorted({lang for lang, _ in totals})
-    found = counted.filter(F.col("times") >= F.when(F.col("n") == 0, min_count).otherwise(2 * min_count)).collect()
-    return fit([(r["lang"], r["n"], r["gram"], r["times"]) for r in found], totals, langs)
+    found = counted.filter(F.col("times") >= F.when(F.col("n") == 0, min_count).otherwise(2 * min_count)).toArrow()
+    return fit(list(zip(*(found.column(c).to_pylist() for c in ("lang", "n", "gram", "times")), strict=True)), totals, langs)
 
 
 def fit(found: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], int], langs: list[str]) -> Model:

@@ -323,7 +323,9 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     two fingerprints are expected to differ in 19 or 20 bits, with a deviation of 4.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, distance=distance, lanes=2, total=total, size_ratio=size_ratio)
-    stays = write_table(found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).select(F.col("component_id").alias("__stays")), "stays")
-    kept = docs.join(stays, F.col(id_col).eqNullSafe(F.col("__stays")), "left_semi")
-    once = kept.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")
-    return once.select(*docs.columns)
+    # both sides grow with the corpus, so neither is broadcast; one key deals rows for the join and
+    # for the repeats, so texts are shuffled once
+    named = lambda c: F.coalesce(F.concat(F.lit("id "), F.col(c).cast("string")), F.lit("null"))
+    stays = write_table(found.select(named("component_id").alias("__key")).distinct(), "stays")
+    kept = docs.withColumn("__key", named(id_col)).join(stays.hint("merge"), "__key", "left_semi")
+    return kept.withColumn("__text", F.xxhash64(text_col)).dropDuplicates(["__key", "__text"]).select(*docs.columns)

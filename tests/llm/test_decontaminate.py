@@ -1,6 +1,6 @@
 import re
 
-from kinmatch.llm.decontaminate import find_contamination
+from kinmatch.llm.decontaminate import drop_contaminated, find_contamination
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -35,6 +35,9 @@ def test_against_brute_force(spark, documents, nothing):
     for size in (8_000_000, 60):  # one automaton, and several rounds
         got = find_contamination(documents, bench, automaton_bytes=size)
         assert sorted(((r["id"], r["n_words"], r["n_hit"], r["items"]) for r in got.collect()), key=str) == want
+        left = drop_contaminated(documents, bench, automaton_bytes=size)
+        assert left.columns == documents.columns
+        assert sorted((r["doc_id"] for r in left.collect()), key=str) == sorted((x[0] for x in want if not x[2]), key=str)
     assert find_contamination(nothing, bench).count() == 0
     assert find_contamination(documents, bench.limit(0)).filter("contaminated").count() == 0
 
