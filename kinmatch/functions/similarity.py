@@ -6,9 +6,10 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.types import DoubleType
 
 from kinmatch.functions.text import grams, words
@@ -94,20 +95,24 @@ def sequence_ratio(a: Column, b: Column) -> Column:
     return F.when((a != "") & (b != ""), _sequence_ratio(a, b))
 
 
-@pandas_udf(DoubleType())
-def _dot(ia: pd.Series, va: pd.Series, ib: pd.Series, vb: pd.Series) -> pd.Series:
-    def flat(indices: pd.Series, values: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        sizes = indices.map(len).to_numpy()
-        if not sizes.sum():
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        return np.repeat(np.arange(len(sizes)), sizes), np.concatenate(indices.to_numpy()).astype(np.int64), np.concatenate(values.to_numpy()).astype(np.float64)
+@arrow_udf(DoubleType())
+def _dot(ia: pa.Array, va: pa.Array, ib: pa.Array, vb: pa.Array) -> pa.Array:
+    def flat(indices: pa.Array, values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        return np.repeat(np.arange(len(sizes)), sizes), indices.flatten().to_numpy(), values.flatten().to_numpy()
 
     ra, xa, wa = flat(ia, va)
     rb, xb, wb = flat(ib, vb)
-    _, code = np.unique(np.concatenate([xa, xb]), return_inverse=True)
-    span = int(code.max()) + 1 if len(code) else 1
-    _, at, bt = np.intersect1d(ra * span + code[: len(xa)], rb * span + code[len(xa) :], assume_unique=True, return_indices=True)
-    return pd.Series(np.bincount(ra[at], weights=wa[at] * wb[bt], minlength=len(ia)).astype(float))
+    if not len(xa) or not len(xb):
+        return pa.array(np.zeros(len(ia)))
+    if min(xa.min(), xb.min()) < 0 or max(xa.max(), xb.max()) >= 1 << 32:  # hashes: to dense codes, in the same order
+        names = np.unique(np.concatenate([xa, xb]))
+        xa, xb = np.searchsorted(names, xa), np.searchsorted(names, xb)
+    # a row's indices ascend, so all keys do, and each is looked up in the other side's
+    ka, kb = (ra << 32) | xa, (rb << 32) | xb
+    at = np.minimum(np.searchsorted(kb, ka), len(kb) - 1)
+    met = kb[at] == ka
+    return pa.array(np.bincount(ra[met], weights=wa[met] * wb[at[met]], minlength=len(ia)).astype(float))
 
 
 def sparse_cosine(a: str, b: str) -> Column:
