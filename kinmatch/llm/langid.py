@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinmatch.llm.common import drop_table, write_table
+
 _WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
@@ -56,9 +58,9 @@ class Model:
     def _backoff(self, word: str) -> np.ndarray:
         for n in ORDERS:
             table = self.tables.get(n, {})
-            known = [table[g] for g in grams_of(word, n) if g in table]
+            known = [i for g in grams_of(word, n) if (i := table.get(g)) is not None]
             if known:
-                return self.rows[known].mean(axis=0)
+                return self.rows[known].mean(axis=0) if len(known) > 1 else self.rows[known[0]]
         return np.zeros(len(self.langs), np.float32)
 
     def _row(self, word: str) -> int:
@@ -94,24 +96,33 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ma
     if n > max_rows:
         rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(n)) < max_rows)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: Counter = Counter()
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for word, times in Counter(words_of(text)).items():
-                    tally[lang, 0, word] += times
-                    for order in ORDERS:
-                        for gram in grams_of(word, order):
-                            tally[lang, order, gram] += times
+                tally.update((lang, w) for w in words_of(text))
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in tally], pa.string()), pa.array([k[1] for k in tally], pa.string()), pa.array(list(tally.values()), pa.int64())], names=["lang", "gram", "times"])
+
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally: Counter = Counter()
+        for batch in batches:
+            for lang, word, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for order in ORDERS:
+                    for gram in grams_of(word, order):
+                        tally[lang, order, gram] += times
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in tally], pa.string()), pa.array([k[1] for k in tally], pa.int32()), pa.array([k[2] for k in tally], pa.string()), pa.array(list(tally.values()), pa.int64())],
             names=["lang", "n", "gram", "times"],
         )
 
-    counted = rows.mapInArrow(count, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
+    words = write_table(rows.mapInArrow(count_words, "lang string, gram string, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times")), "words")
+    grams = words.mapInArrow(count_grams, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
+    counted = write_table(words.select("lang", F.lit(0).alias("n"), "gram", "times").union(grams), "grams")
     totals = {(r["lang"], r["n"]): r["total"] for r in counted.groupBy("lang", "n").agg(F.sum("times").alias("total")).collect()}
     langs = sorted({lang for lang, _ in totals})
     found = counted.filter(F.col("times") >= F.when(F.col("n") == 0, min_count).otherwise(2 * min_count)).toArrow()
+    drop_table(words)
+    drop_table(counted)
     return fit(list(zip(*(found.column(c).to_pylist() for c in ("lang", "n", "gram", "times")), strict=True)), totals, langs)
 
 
