@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes A-Z map to a-z, every other byte to itself.
 ASCII_LOWER = bytes(range(256)).lower()
@@ -55,6 +56,21 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "left", *, salts: int = 32, share: int = 1000) -> DataFrame:
+    """``rows`` joined to ``facts`` (one row a key), with keys of many rows dealt to ``salts`` tasks.
+
+    A key is hot if it has more than one row in ``share``, so there are fewer than ``share`` hot keys
+    whatever the input, and they can be broadcast. Nulls meet nothing.
+    """
+    n = rows.count()
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") * share > max(n, share * 100)).select(key, F.lit(True).alias("__hot"))
+    hot = write_table(hot, "hot-keys")
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__salt", F.when(F.col("__hot"), F.floor(F.rand(7) * salts)).otherwise(0).cast("int")).drop("__hot")
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copied = facts.join(F.broadcast(hot), key, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
+    return dealt.join(copied, [key, "__salt"], how).drop("__salt")
+
+
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a shared URI, for tasks that read or write bytes themselves."""
     fs, path = pafs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)

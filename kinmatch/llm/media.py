@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import byte_views, open_fs, put_file, shared_dir, write_table
+from kinmatch.llm.common import byte_views, open_fs, put_file, shared_dir, spread_join, write_table
 
 LINE = 192
 SEQUENCE = "array<struct<position:int,kind:string,text:string,digest:string,caption:string>>"
@@ -241,7 +241,7 @@ def read_media(places: DataFrame, *, stretch: int = 4_000_000, task_bytes: int =
 def resolve(references: DataFrame, media: DataFrame) -> DataFrame:
     """References by digest, left join; ``media`` may list a digest more than once."""
     once = media.groupBy("digest").agg(*[F.first(c).alias(c) for c in media.columns if c != "digest"])
-    return references.join(once, "digest", "left")
+    return spread_join(references, once, "digest")
 
 
 def media_query(spark, sf_dir: str) -> DataFrame:
@@ -249,5 +249,6 @@ def media_query(spark, sf_dir: str) -> DataFrame:
     stored = store_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), shared_dir(spark, "media"))
     parsed = sequences(stored.withColumn("key", F.struct("id", "n_bytes")), id_col="key", html_col="html")
     references = parsed.select("id.*", F.explode("sequence").alias("x")).filter("x.kind = 'media'").select(F.col("id").alias("doc_id"), "n_bytes", "x.digest", "x.position", "x.caption")
+    references = write_table(references, "references")
     found = resolve(references, read_media(stored))
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
