@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import ASCII_LOWER, byte_views, drop_table, mix64, runs, whole_runs, write_table
+from kinmatch.llm.common import ASCII_LOWER, byte_views, drop_table, mix64, runs, spread_join, whole_runs, write_table
 from kinmatch.llm.components import components, forest, forest_of_batches
 
 BITS = 64
@@ -304,8 +304,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     else:
         named = distinct.select(*lane, "least").mapInArrow(name, f"{kinds}, least long, node long")
     rooted = write_table(named.join(found.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(*lane, "least", F.coalesce("root", "node").alias("root")), "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labelled = rooted.join(smallest, "root").select(*lane, "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("root", F.struct("least").alias("whole"))
+    labelled = spread_join(rooted, smallest, "root").select(*lane, F.when(F.col("whole").isNull(), F.col("least")).otherwise(F.col("whole.least")).alias("component_id"))
     drop_table(distinct)
     return rows.join(labelled, lane).select("id", *lane, "size", "component_id")
 
