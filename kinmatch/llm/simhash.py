@@ -316,11 +316,12 @@ def simhash_query(spark, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 12, total: int = 22, size_ratio: float = 0.75) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 13, total: int = 24, size_ratio: float = 0.75) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; repeated rows once.
 
     128 bits over shingles of five words estimate a similarity of about 0.8 or more: that is where
-    two fingerprints are expected to differ in 19 or 20 bits, with a deviation of 4.
+    two fingerprints are expected to differ in 19 or 20 bits, with a deviation of 4; the limits are one
+    deviation beyond.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, distance=distance, lanes=2, total=total, size_ratio=size_ratio)
     # both sides grow with the corpus, so neither is broadcast; one key deals rows for the join and
