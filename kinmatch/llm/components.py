@@ -34,26 +34,58 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[root[own]]
 
 
-def forest_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (two int64 columns) of a task, reduced to a forest whenever many have come together."""
-    a, b, size = [], [], 0
+def spanning(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A minimum spanning forest of the links, of links that are among them (weights under 64).
 
-    def reduced() -> tuple[np.ndarray, np.ndarray]:
-        return forest(np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
+    Boruvka's rounds over links in one order, by weight and then by their ends; so the links of at most
+    any weight connect the same nodes in the forest as in the whole, and equal groups give equal links.
+    """
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)].astype(np.uint64), ends[len(a) :].astype(np.uint64)
+    packed = np.unique(weight.astype(np.uint64) << np.uint64(58) | np.minimum(x, y) << np.uint64(29) | np.maximum(x, y))
+    low = np.uint64((1 << 29) - 1)
+    x, y = (packed >> np.uint64(29) & low).astype(np.int64), (packed & low).astype(np.int64)
+    label, left, chosen = np.arange(len(nodes)), np.flatnonzero(x != y), []
+    while len(left):
+        best = np.full((2, len(nodes)), len(packed))
+        best[0, label[x[left[::-1]]]] = left[::-1]  # of repeated places the last is kept: the lightest link
+        best[1, label[y[left[::-1]]]] = left[::-1]
+        picked = np.unique(best.min(axis=0))
+        picked = picked[picked < len(packed)]
+        chosen.append(picked)
+        moved, root = forest(label[x[picked]], label[y[picked]])
+        to = np.arange(len(nodes))
+        to[moved] = root
+        label = to[label]
+        left = left[label[x[left]] != label[y[left]]]
+    at = np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+    return nodes[x[at]], nodes[y[at]], (packed[at] >> np.uint64(58)).astype(np.int64)
+
+
+def forest_of_batches(batches: Iterator[pa.RecordBatch], reduce=forest) -> Iterator[pa.RecordBatch]:
+    """Links (int64 columns) of a task, reduced to a forest whenever many have come together."""
+    held: list[list[np.ndarray]] = []
+    size, names = 0, []
+
+    def made(columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def reduced() -> list[np.ndarray]:
+        return list(reduce(*(np.concatenate(c) for c in zip(*held, strict=True))))
 
     for batch in batches:
-        a.append(batch.column(0).to_numpy())
-        b.append(batch.column(1).to_numpy())
+        names = batch.schema.names
+        held.append([c.to_numpy() for c in batch.columns])
         size += batch.num_rows
         if size > 500_000:
-            x, y = reduced()
-            a, b, size = [x], [y], 0
-            if len(x) > 250_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
-                a, b = [], []
-    x, y = reduced()
-    if len(x):
-        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+            held, size = [reduced()], 0
+            if len(held[0][0]) > 250_000:
+                yield made(held[0])
+                held = []
+    if held:
+        found = reduced()
+        if len(found[0]):
+            yield made(found)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -11,6 +11,11 @@ meet in one bucket, where each pair of a probe and an own value is verified on a
 Buckets report a spanning forest of what they found, not pairs, so a large group of near copies
 costs links in proportion to its members. Equal fingerprints are one node from the start.
 
+Where a similarity is asked for, nodes are sets of distinct shingles, the forest is a minimum one by
+differing bits, made of pairs that were found, and each of its links is held to the two sets. Links
+that stay are exact; what the order by bits can cost is a group that hangs together by a link heavier
+than one that fails.
+
 Defined results: a null text, or one without words, has fingerprint zero and is linked like any
 other; fewer words than a shingle's are one shingle; a null id takes part but is never the smallest
 unless its whole component has none; repeated rows each get a row; an empty table gives no rows.
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinmatch.llm.common import ASCII_LOWER, byte_views, drop_table, mix64, runs, spread_join, whole_runs, write_table
-from kinmatch.llm.components import components, forest, forest_of_batches
+from kinmatch.llm.components import components, forest, forest_of_batches, spanning
 
 BITS = 64
 _BIT_TABLE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -71,22 +76,48 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits((2 * ones > n).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, lanes: int = 1) -> DataFrame:
-    """``id, f0 .. f{lanes-1}, size``: 64 bits a lane, as signed longs; ``size`` is the number of shingles."""
-    names = ["id", *(f"f{i}" for i in range(lanes)), "size"]
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, lanes: int = 1, sets: bool = False) -> DataFrame:
+    """``id, f0 .. f{lanes-1}, size``: 64 bits a lane, as signed longs; ``size`` is the number of shingles.
+
+    With ``sets``, of distinct shingles, and ``node``, a hash of all of them, follows.
+    """
+    names = ["id", *(f"f{i}" for i in range(lanes)), "size", *(["node"] if sets else [])]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[list[int]] = [[] for _ in range(lanes)]
-            sizes = []
+            sizes, nodes = [], []
             for text in byte_views(batch.column(1)):
                 hashes = shingle_hashes(text.translate(ASCII_LOWER).split(), width)
+                if sets:
+                    hashes = np.unique(hashes)
+                    nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()))
                 sizes.append(len(hashes))
                 for i in range(lanes):
                     found[i].append(majority(mix64(hashes + np.uint64(i * 0x9E3779B97F4A7C15 % 2**64)) if i else hashes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in found), pa.array(sizes, pa.int32())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in found), pa.array(sizes, pa.int32()), *([_signed(nodes)] if sets else [])], names=names)
+
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(make, "id long, " + ", ".join(f"f{i} long" for i in range(lanes)) + ", size int" + ", node long" * sets)
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
+
+
+def shingle_sets(docs: DataFrame, *, text_col: str, width: int) -> DataFrame:
+    """``node, shingles``: the distinct shingles of a text, as 32 bits of their hashes.
+
+    Two sets of n shingles have about n*n / 2**32 such values in common by chance, a share of
+    n / 2**32 of them: a millionth at 4,000 shingles.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(text.translate(ASCII_LOWER).split(), width)) for text in byte_views(batch.column(0))]
+            shingles = pa.array([np.unique(h.astype(np.uint32)).view(np.int32) for h in found], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([_signed([xxhash.xxh64_intdigest(h.tobytes()) for h in found]), shingles], names=["node", "shingles"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(make, "id long, " + ", ".join(f"f{i} long" for i in range(lanes)) + ", size int")
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(make, "node long, shingles array<int>")
 
 
 # ---------------------------------------------------------------- plan
@@ -177,9 +208,9 @@ def _masks(width: int, upto: int) -> list[np.uint64]:
     return [np.uint64(sum(1 << i for i in chosen)) for d in range(1, upto + 1) for chosen in combinations(range(width), d)]
 
 
-def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int) -> DataFrame:
-    """``key, own, f0 .., size`` for each row: its own value of each part, and its probes."""
-    names = ["key", "own", *(f"f{i}" for i in range(lanes)), "size"]
+def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int, sets: bool = False) -> DataFrame:
+    """``key, own, f0 .., size`` and, of sets, ``node`` for each row: its own value of each part, and its probes."""
+    names = ["key", "own", *(f"f{i}" for i in range(lanes)), "size", *(["node"] if sets else [])]
     masks = [_masks(len(bits), t) for bits, t in parts]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,30 +226,26 @@ def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(f0), m == 0)), *batch.columns], names=names)
 
     kinds = ", ".join(f"f{i} long" for i in range(lanes))
-    return prints.select(*names[2:]).mapInArrow(write, f"key long, own boolean, {kinds}, size int")
+    return prints.select(*names[2:]).mapInArrow(write, f"key long, own boolean, {kinds}, size int" + ", node long" * sets)
 
 
-def nodes_of(lanes: list[np.ndarray]) -> np.ndarray:
-    """A fingerprint's node: itself, or a hash of its lanes."""
-    node = lanes[0].view(np.uint64)
-    for lane in lanes[1:]:
-        node = mix64(node ^ mix64(lane.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
-    return node.view(np.int64)
-
-
-def _near(x: list[np.ndarray], y: list[np.ndarray], distance: int, total: int) -> np.ndarray:
-    first = np.bitwise_count(x[0] ^ y[0])
-    near = first <= distance
+def _near(x: list[np.ndarray], y: list[np.ndarray], distance: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which are near, and in how many bits all lanes differ (of those that are near)."""
+    whole = np.bitwise_count(x[0] ^ y[0])
+    near = whole <= distance
     if len(x) > 1 and near.any():
-        whole = first.astype(np.int32)
         for a, b in zip(x[1:], y[1:], strict=True):
             whole = whole + np.bitwise_count(a ^ b)
         near &= whole <= total
-    return near
+    return near, whole
 
 
-def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int):
-    """Links inside buckets: rows sorted by key come in, a forest of links goes out."""
+def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int, sets: bool = False):
+    """Links inside buckets: rows sorted by key come in, a forest of links goes out; with ``sets`` a
+    minimum one, with the bits that differ."""
+
+    def reduce(a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+        return spanning(a, b, bits) if sets else forest(a, b)
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches):
@@ -226,12 +253,11 @@ def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int):
             own = table.column(1).to_numpy()
             f = [table.column(2 + i).to_numpy().view(np.uint64) for i in range(lanes)]
             size = table.column(2 + lanes).to_numpy()
-            node = nodes_of(f)
+            node = table.column(3 + lanes).to_numpy() if sets else f[0].view(np.int64)
             starts = runs(key)
             length = np.diff(starts)
             owned = np.add.reduceat(own.astype(np.int64), starts[:-1]) if len(key) else np.zeros(0, np.int64)
-            a: list[np.ndarray] = []
-            b: list[np.ndarray] = []
+            out: list[tuple[np.ndarray, ...]] = []
 
             def fits(i, j, size=size):
                 return np.minimum(size[i], size[j]) >= size_ratio * np.maximum(size[i], size[j]) if size_ratio else True
@@ -247,9 +273,8 @@ def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int):
                 i, j = at, at + step
                 pick = (own[i] | own[j]) & (node[i] != node[j]) & fits(i, j)
                 i, j = i[pick], j[pick]
-                near = _near([x[i] for x in f], [x[j] for x in f], distance, total)
-                a.append(node[i[near]])
-                b.append(node[j[near]])
+                near, bits = _near([x[i] for x in f], [x[j] for x in f], distance, total)
+                out.append((node[i[near]], node[j[near]], bits[near]))
             # long buckets, one by one: blocks of rows against the own values, by size
             for k in np.flatnonzero((length > SHORT) & (owned > 0)):
                 rows = np.arange(starts[k], starts[k + 1])
@@ -264,50 +289,68 @@ def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int):
                         hi = np.searchsorted(size[mine], size[block[-1]] / size_ratio, "right")
                     for c in range(lo, hi, 4096):
                         other = mine[c : min(hi, c + 4096)]
-                        near = _near([x[block][:, None] for x in f], [x[other][None, :] for x in f], distance, total)
+                        near, bits = _near([x[block][:, None] for x in f], [x[other][None, :] for x in f], distance, total)
                         i, j = np.nonzero(near)
-                        i, j = block[i], other[j]
+                        bits, i, j = bits[i, j], block[i], other[j]
                         pick = (node[i] != node[j]) & fits(i, j)
-                        x, y = forest(node[i[pick]], node[j[pick]])
-                        a.append(x)
-                        b.append(y)
-            if a and sum(map(len, a)):
-                x, y = forest(np.concatenate(a), np.concatenate(b))
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+                        found = reduce(node[i[pick]], node[j[pick]], bits[pick])
+                        out.append(found if sets else (*found, np.zeros(len(found[0]), np.int64)))
+            if out and sum(len(o[0]) for o in out):
+                found = reduce(*(np.concatenate(c) for c in zip(*out, strict=True)))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["a", "b", "bits"][: len(found)])
+
+    return lambda batches: forest_of_batches(links(batches), spanning if sets else forest)
 
-    return lambda batches: forest_of_batches(links(batches))
+
+def similar_links(links: DataFrame, docs: DataFrame, holders: DataFrame, similarity: float, *, id_col: str, text_col: str, width: int) -> DataFrame:
+    """The ``links`` (``a, b``) whose sets of shingles have at least this Jaccard similarity.
+
+    ``holders`` (``node, least``) says which document has a node's text. Texts of linked nodes alone are
+    fetched, and sets move once for a link; a node of many links is dealt to many tasks.
+    """
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    asked = holders.join(ends.hint("merge"), "node").select(id_key("least").alias("__key")).distinct()
+    texts = docs.select(id_key(id_col).alias("__key"), F.col(text_col).alias("__body")).join(asked.hint("merge"), "__key", "left_semi")
+    sets = write_table(shingle_sets(texts, text_col="__body", width=width).dropDuplicates(["node"]), "shingle-sets")
+    pairs = spread_join(links.select("a", "b"), sets.toDF("a", "mine"), "a", "inner")
+    pairs = spread_join(write_table(pairs, "half-pairs"), sets.toDF("b", "theirs"), "b", "inner")
+    common = F.size(F.array_intersect("mine", "theirs"))
+    return pairs.filter(common >= similarity * (F.size("mine") + F.size("theirs") - common)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, lanes: int = 1, total: int = 0, size_ratio: float = 0.0) -> DataFrame:
+def id_key(column: str):
+    """An id as a join key that also meets null."""
+    return F.coalesce(F.concat(F.lit("id "), F.col(column).cast("string")), F.lit("null"))
+
+
+def near_duplicates(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, lanes: int = 1, total: int = 0, similarity: float = 0.0
+) -> DataFrame:
     """``id, f0.., size, component_id``: the smallest id that links reach, for every row.
 
     A link is at most ``distance`` differing bits of the first lane and, with more lanes, at most
-    ``total`` of all lanes and a ratio of sizes of at least ``size_ratio``.
+    ``total`` of all lanes (``lanes`` above 1 needs a ``similarity``). With a similarity, fingerprints are of
+    distinct shingles, and a link also needs sets of at least that Jaccard similarity.
     """
-    lane = [f"f{i}" for i in range(lanes)]
-    rows = write_table(fingerprints(docs, id_col=id_col, text_col=text_col, width=width, lanes=lanes), "fingerprints")
-    distinct = write_table(rows.groupBy(*lane).agg(F.min("id").alias("least"), F.max("size").alias("size")), "distinct")
+    sets, lane = similarity > 0, [f"f{i}" for i in range(lanes)]
+    node = "node" if sets else "f0"
+    rows = write_table(fingerprints(docs, id_col=id_col, text_col=text_col, width=width, lanes=lanes, **({"sets": True} if sets else {})), "fingerprints")
+    distinct = write_table(rows.groupBy(*lane, *(["node"] if sets else [])).agg(F.min("id").alias("least"), F.max("size").alias("size")), "distinct")
     n, share, correlation = bit_statistics(distinct)
     parts = plan(n, share, correlation, distance)
-    dealt = signatures(distinct, parts, lanes)
+    dealt = signatures(distinct, parts, lanes, sets)
     dealt = dealt.repartition("key").sortWithinPartitions("key")
-    found = components(dealt.mapInArrow(_bucket_links(distance, total, size_ratio, lanes), "a long, b long"))
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node = nodes_of([batch.column(i).to_numpy() for i in range(lanes)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node)], names=[*batch.schema.names, "node"])
-
-    kinds = ", ".join(f"{x} long" for x in lane)
-    if lanes == 1:
-        named = distinct.select("f0", "least", F.col("f0").alias("node"))
-    else:
-        named = distinct.select(*lane, "least").mapInArrow(name, f"{kinds}, least long, node long")
-    rooted = write_table(named.join(found.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(*lane, "least", F.coalesce("root", "node").alias("root")), "rooted")
+    links = dealt.mapInArrow(_bucket_links(distance, total, similarity, lanes, sets), "a long, b long" + ", bits long" * sets)
+    if sets:
+        links = write_table(links.select("a", "b").distinct(), "bucket-links")
+        links = similar_links(links, docs, distinct.select("node", "least"), similarity, id_col=id_col, text_col=text_col, width=width)
+    found = components(links)
+    named = distinct.select(F.col(node).alias("own"), "least")
+    rooted = write_table(named.join(found, F.col("own") == F.col("node"), "left").select("own", "least", F.coalesce("root", "own").alias("root")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("root", F.struct("least").alias("whole"))
-    labelled = spread_join(rooted, smallest, "root").select(*lane, F.when(F.col("whole").isNull(), F.col("least")).otherwise(F.col("whole.least")).alias("component_id"))
+    labelled = spread_join(rooted, smallest, "root").select("own", F.when(F.col("whole").isNull(), F.col("least")).otherwise(F.col("whole.least")).alias("component_id"))
     drop_table(distinct)
-    return rows.join(labelled, lane).select("id", *lane, "size", "component_id")
+    return rows.join(labelled.withColumnRenamed("own", node), node).select("id", *lane, "size", "component_id")
 
 
 def simhash_query(spark, sf_dir: str) -> DataFrame:
@@ -316,17 +359,16 @@ def simhash_query(spark, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 13, total: int = 24, size_ratio: float = 0.75) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 13, total: int = 28, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; repeated rows once.
 
-    128 bits over shingles of five words estimate a similarity of about 0.8 or more: that is where
-    two fingerprints are expected to differ in 19 or 20 bits, with a deviation of 4; the limits are one
-    deviation beyond.
+    A group hangs together by pairs whose sets of shingles of five words have a similarity of 0.8 or
+    more. Pairs are sought by 128 bits: at 0.8 two fingerprints are expected to differ in 19 or 20, with a
+    deviation of 4, and 9.7 of the first 64, with one of 2.9. No row goes by fingerprints alone.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, distance=distance, lanes=2, total=total, size_ratio=size_ratio)
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, distance=distance, lanes=2, total=total, similarity=similarity)
     # both sides grow with the corpus, so neither is broadcast; one key deals rows for the join and
     # for the repeats, so texts are shuffled once
-    named = lambda c: F.coalesce(F.concat(F.lit("id "), F.col(c).cast("string")), F.lit("null"))
-    stays = write_table(found.select(named("component_id").alias("__key")).distinct(), "stays")
-    kept = docs.withColumn("__key", named(id_col)).join(stays.hint("merge"), "__key", "left_semi")
+    stays = write_table(found.select(id_key("component_id").alias("__key")).distinct(), "stays")
+    kept = docs.withColumn("__key", id_key(id_col)).join(stays.hint("merge"), "__key", "left_semi")
     return kept.withColumn("__text", F.xxhash64(text_col)).dropDuplicates(["__key", "__text"]).select(*docs.columns)

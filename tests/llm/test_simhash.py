@@ -82,3 +82,43 @@ def test_copies_go_and_others_stay(spark):
     docs = spark.createDataFrame([*rows, rows[9]], "doc_id long, text string")
     kept = simhash.drop_near_duplicates(docs)
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(12)) and kept.columns == docs.columns
+
+
+def jaccard(a, b, width=5):
+    x, y = ({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_only_similar_copies_go(spark):
+    rng = random.Random(17)
+    rows, want = [], {}
+    for i in range(120):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(60, 400))]
+        copy = list(words)
+        for at in rng.sample(range(len(words)), max(1, int(len(words) * rng.uniform(0.002, 0.09)))):
+            copy[at] = "edited"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        want[i] = jaccard(words, copy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+    gone = {i for i in want if 2 * i + 1 not in kept}
+    assert kept >= {2 * i for i in want}
+    assert not [want[i] for i in gone if want[i] < 0.8]
+    near = [i for i in want if want[i] >= 0.8]
+    assert len(near) > 20 and len(want) - len(near) > 20
+    assert {i for i in near if want[i] >= 0.9} <= gone
+    assert len(gone) >= 0.9 * len(near)
+
+
+def test_spanning_forest_keeps_every_threshold():
+    from kinmatch.llm.components import forest, spanning
+
+    rng = np.random.default_rng(4)
+    for n in (2, 10, 60):
+        a, b, w = rng.integers(0, n, 4 * n) - 7, rng.integers(0, n, 4 * n) - 7, rng.integers(0, 30, 4 * n)
+        x, y, v = spanning(a, b, w)
+        given = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), w.tolist(), strict=True))
+        assert {(int(min(p)), int(max(p)), int(q)) for *p, q in zip(x, y, v, strict=True)} <= given and len(x) < n
+        for limit in (3, 12, 30):
+            part = lambda p, q, k: [t.tolist() for t in forest(p[k <= limit], q[k <= limit])]  # noqa: B023, E731
+            assert part(a, b, w) == part(x, y, v)
