@@ -229,18 +229,13 @@ def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int
     return prints.select(*names[2:]).mapInArrow(write, f"key long, own boolean, {kinds}, size int" + ", node long" * sets)
 
 
-def _near(x: list[np.ndarray], y: list[np.ndarray], distance: int, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which are near, and in how many bits all lanes differ (of those that are near)."""
-    whole = np.bitwise_count(x[0] ^ y[0])
-    near = whole <= distance
-    if len(x) > 1 and near.any():
-        for a, b in zip(x[1:], y[1:], strict=True):
-            whole = whole + np.bitwise_count(a ^ b)
-        near &= whole <= total
-    return near, whole
-
-
-def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int, sets: bool = False):
+def _near(x: list[np.ndarray], y: list[np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which differ in at most ``limit`` bits of all lanes, and in how many."""
+    bits = sum(np.bitwise_count(a ^ b) for a, b in zip(x, y, strict=True))
+    return bits <= limit, bits
+
+
+def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False):
     """Links inside buckets: rows sorted by key come in, a forest of links goes out; with ``sets`` a
     minimum one, with the bits that differ."""
 
@@ -273,7 +268,7 @@ def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int, sets
                 i, j = at, at + step
                 pick = (own[i] | own[j]) & (node[i] != node[j]) & fits(i, j)
                 i, j = i[pick], j[pick]
-                near, bits = _near([x[i] for x in f], [x[j] for x in f], distance, total)
+                near, bits = _near([x[i] for x in f], [x[j] for x in f], limit)
                 out.append((node[i[near]], node[j[near]], bits[near]))
             # long buckets, one by one: blocks of rows against the own values, by size
             for k in np.flatnonzero((length > SHORT) & (owned > 0)):
@@ -289,7 +284,7 @@ def _bucket_links(distance: int, total: int, size_ratio: float, lanes: int, sets
                         hi = np.searchsorted(size[mine], size[block[-1]] / size_ratio, "right")
                     for c in range(lo, hi, 4096):
                         other = mine[c : min(hi, c + 4096)]
-                        near, bits = _near([x[block][:, None] for x in f], [x[other][None, :] for x in f], distance, total)
+                        near, bits = _near([x[block][:, None] for x in f], [x[other][None, :] for x in f], limit)
                         i, j = np.nonzero(near)
                         bits, i, j = bits[i, j], block[i], other[j]
                         pick = (node[i] != node[j]) & fits(i, j)
@@ -328,9 +323,10 @@ def near_duplicates(
 ) -> DataFrame:
     """``id, f0.., size, component_id``: the smallest id that links reach, for every row.
 
-    A link is at most ``distance`` differing bits of the first lane and, with more lanes, at most
-    ``total`` of all lanes (``lanes`` above 1 needs a ``similarity``). With a similarity, fingerprints are of
-    distinct shingles, and a link also needs sets of at least that Jaccard similarity.
+    A link is at most ``distance`` differing bits. With a similarity (which ``lanes`` above 1 need),
+    fingerprints are of distinct shingles, and a link is a similarity of the sets of at least that: all
+    pairs within ``distance`` in the first lane are met, most beyond it also share a bucket, and those of
+    them that differ in at most ``total`` bits of all lanes are held to the sets.
     """
     sets, lane = similarity > 0, [f"f{i}" for i in range(lanes)]
     node = "node" if sets else "f0"
@@ -340,7 +336,7 @@ def near_duplicates(
     parts = plan(n, share, correlation, distance)
     dealt = signatures(distinct, parts, lanes, sets)
     dealt = dealt.repartition("key").sortWithinPartitions("key")
-    links = dealt.mapInArrow(_bucket_links(distance, total, similarity, lanes, sets), "a long, b long" + ", bits long" * sets)
+    links = dealt.mapInArrow(_bucket_links(total if sets else distance, similarity, lanes, sets), "a long, b long" + ", bits long" * sets)
     if sets:
         links = write_table(links.select("a", "b").distinct(), "bucket-links")
         links = similar_links(links, docs, distinct.select("node", "least"), similarity, id_col=id_col, text_col=text_col, width=width)
@@ -359,12 +355,13 @@ def simhash_query(spark, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 13, total: int = 28, similarity: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 13, total: int = 32, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; repeated rows once.
 
     A group hangs together by pairs whose sets of shingles of five words have a similarity of 0.8 or
     more. Pairs are sought by 128 bits: at 0.8 two fingerprints are expected to differ in 19 or 20, with a
-    deviation of 4, and 9.7 of the first 64, with one of 2.9. No row goes by fingerprints alone.
+    deviation of 4, so 32 is three beyond; parts are planned for 13 of the first 64, where 9.7 are expected.
+    No row goes by fingerprints alone.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, distance=distance, lanes=2, total=total, similarity=similarity)
     # both sides grow with the corpus, so neither is broadcast; one key deals rows for the join and
