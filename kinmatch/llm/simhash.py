@@ -12,9 +12,9 @@ Buckets report a spanning forest of what they found, not pairs, so a large group
 costs links in proportion to its members. Equal fingerprints are one node from the start.
 
 Where a similarity is asked for, nodes are sets of distinct shingles, the forest is a minimum one by
-differing bits, made of pairs that were found, and each of its links is held to the two sets. Links
-that stay are exact; what the order by bits can cost is a group that hangs together by a link heavier
-than one that fails.
+differing bits, made of pairs that were found, and each of its links is held to the two sets. Where
+links fail, the buckets are read again, and every found pair whose ends good links don't join yet is
+held to the sets as well; so groups are those of all found pairs, whatever the order by bits.
 
 Defined results: a null text, or one without words, has fingerprint zero and is linked like any
 other; fewer words than a shingle's are one shingle; a null id takes part but is never the smallest
@@ -208,9 +208,9 @@ def _masks(width: int, upto: int) -> list[np.uint64]:
     return [np.uint64(sum(1 << i for i in chosen)) for d in range(1, upto + 1) for chosen in combinations(range(width), d)]
 
 
-def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int, sets: bool = False) -> DataFrame:
-    """``key, own, f0 .., size`` and, of sets, ``node`` for each row: its own value of each part, and its probes."""
-    names = ["key", "own", *(f"f{i}" for i in range(lanes)), "size", *(["node"] if sets else [])]
+def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int, sets: bool = False, groups: bool = False) -> DataFrame:
+    """``key, own, f0 .., size`` and, of sets, ``node`` (and its ``root``, of groups) for each row: its own value of each part, and its probes."""
+    names = ["key", "own", *(f"f{i}" for i in range(lanes)), "size", *(["node"] if sets else []), *(["root"] if groups else [])]
     masks = [_masks(len(bits), t) for bits, t in parts]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +226,7 @@ def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(f0), m == 0)), *batch.columns], names=names)
 
     kinds = ", ".join(f"f{i} long" for i in range(lanes))
-    return prints.select(*names[2:]).mapInArrow(write, f"key long, own boolean, {kinds}, size int" + ", node long" * sets)
+    return prints.select(*names[2:]).mapInArrow(write, f"key long, own boolean, {kinds}, size int" + ", node long" * sets + ", root long" * groups)
 
 
 def _near(x: list[np.ndarray], y: list[np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,11 +235,14 @@ def _near(x: list[np.ndarray], y: list[np.ndarray], limit: int) -> tuple[np.ndar
     return bits <= limit, bits
 
 
-def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False):
+def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False, groups: bool = False):
     """Links inside buckets: rows sorted by key come in, a forest of links goes out; with ``sets`` a
-    minimum one, with the bits that differ."""
+    minimum one, with the bits that differ; with ``groups`` all links between rows of two roots."""
 
     def reduce(a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+        if groups:
+            low, first = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0, return_index=True)
+            return low[:, 0], low[:, 1], bits[first].astype(np.int64)
         return spanning(a, b, bits) if sets else forest(a, b)
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,6 +252,7 @@ def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False)
             f = [table.column(2 + i).to_numpy().view(np.uint64) for i in range(lanes)]
             size = table.column(2 + lanes).to_numpy()
             node = table.column(3 + lanes).to_numpy() if sets else f[0].view(np.int64)
+            root = table.column(4 + lanes).to_numpy() if groups else node
             starts = runs(key)
             length = np.diff(starts)
             owned = np.add.reduceat(own.astype(np.int64), starts[:-1]) if len(key) else np.zeros(0, np.int64)
@@ -266,7 +270,7 @@ def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False)
                 if not len(at):
                     break
                 i, j = at, at + step
-                pick = (own[i] | own[j]) & (node[i] != node[j]) & fits(i, j)
+                pick = (own[i] | own[j]) & (root[i] != root[j]) & fits(i, j)
                 i, j = i[pick], j[pick]
                 near, bits = _near([x[i] for x in f], [x[j] for x in f], limit)
                 out.append((node[i[near]], node[j[near]], bits[near]))
@@ -287,14 +291,20 @@ def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False)
                         near, bits = _near([x[block][:, None] for x in f], [x[other][None, :] for x in f], limit)
                         i, j = np.nonzero(near)
                         bits, i, j = bits[i, j], block[i], other[j]
-                        pick = (node[i] != node[j]) & fits(i, j)
+                        pick = (root[i] != root[j]) & fits(i, j)
                         found = reduce(node[i[pick]], node[j[pick]], bits[pick])
+                        if groups:  # pairs of a large bucket aren't held
+                            yield made(found)
+                            continue
                         out.append(found if sets else (*found, np.zeros(len(found[0]), np.int64)))
             if out and sum(len(o[0]) for o in out):
                 found = reduce(*(np.concatenate(c) for c in zip(*out, strict=True)))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["a", "b", "bits"][: len(found)])
+                yield made(found)
 
-    return lambda batches: forest_of_batches(links(batches), spanning if sets else forest)
+    def made(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["a", "b", "bits"][: len(found)])
+
+    return links if groups else lambda batches: forest_of_batches(links(batches), spanning if sets else forest)
 
 
 def similar_links(links: DataFrame, docs: DataFrame, holders: DataFrame, similarity: float, *, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -339,7 +349,17 @@ def near_duplicates(
     links = dealt.mapInArrow(_bucket_links(total if sets else distance, similarity, lanes, sets), "a long, b long" + ", bits long" * sets)
     if sets:
         links = write_table(links.select("a", "b").distinct(), "bucket-links")
-        links = similar_links(links, docs, distinct.select("node", "least"), similarity, id_col=id_col, text_col=text_col, width=width)
+        held = lambda found: write_table(similar_links(found, docs, distinct.select("node", "least"), similarity, id_col=id_col, text_col=text_col, width=width), "similar-links")
+        good = held(links)
+        if good.count() < links.count():
+            # a failed link may stand for pairs that the forest left out: all pairs between groups are judged
+            ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+            grouped = distinct.join(ends.hint("merge"), "node", "left_semi").join(components(good).hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            again = signatures(grouped, parts, lanes, sets, True).repartition("key").sortWithinPartitions("key")
+            pairs = again.mapInArrow(_bucket_links(total, similarity, lanes, sets, True), "a long, b long, bits long").select("a", "b").distinct()
+            pairs = write_table(pairs.join(links.hint("merge"), ["a", "b"], "left_anti"), "other-pairs")
+            good = good.union(held(pairs))
+        links = good
     found = components(links)
     named = distinct.select(F.col(node).alias("own"), "least")
     rooted = write_table(named.join(found, F.col("own") == F.col("node"), "left").select("own", "least", F.coalesce("root", "own").alias("root")), "rooted")

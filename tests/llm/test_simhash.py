@@ -110,6 +110,31 @@ def test_only_similar_copies_go(spark):
     assert len(gone) >= 0.9 * len(near)
 
 
+def test_copies_among_texts_that_look_alike_go(spark):
+    rng = random.Random(5)
+    texts, want = [], set()
+    for _ in range(8):
+        base = [f"w{rng.randrange(9000)}" for _ in range(424)]
+        places = [rng.sample(range(3, 420, 5), 6) for _ in range(40)]
+        places.append([*places[0][:2], *rng.sample([p for p in range(3, 420, 5) if p not in places[0]], 4)])
+        for own in places:
+            texts.append([f"own{len(texts)}" if at in own and not (own is places[-1] and at in places[0]) else w for at, w in enumerate(base)])
+        for at in places[0][:2]:  # changes that the pair has in common
+            texts[-1][at] = texts[-41][at]
+        assert jaccard(texts[-1], texts[-41]) >= 0.8
+        want.add(len(texts) - 1)
+    family = [texts[i : i + 41] for i in range(0, len(texts), 41)]
+    gone = set()
+    for k, f in enumerate(family):
+        least = list(range(41))
+        for i, j in ((i, j) for j in range(41) for i in range(j) if jaccard(f[i], f[j]) >= 0.8):
+            least = [min(least[i], least[j]) if x in (least[i], least[j]) else x for x in least]
+        gone |= {41 * k + j for j in range(41) if least[j] < j}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+    assert want <= gone and kept == set(range(len(texts))) - gone
+
+
 def test_spanning_forest_keeps_every_threshold():
     from kinmatch.llm.components import forest, spanning
 
