@@ -60,12 +60,13 @@ def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "left",
     """``rows`` joined to ``facts`` (one row a key), with keys of many rows dealt to ``salts`` tasks.
 
     A key is hot if it has more than one row in ``share``, so there are fewer than ``share`` hot keys
-    whatever the input, and they can be broadcast. Nulls meet nothing.
+    whatever the input, and they can be broadcast. The salt is a hash of the row, so a task that runs
+    again deals alike. Nulls meet nothing.
     """
     n = rows.count()
     hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") * share > max(n, share * 100)).select(key, F.lit(True).alias("__hot"))
     hot = write_table(hot, "hot-keys")
-    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__salt", F.when(F.col("__hot"), F.floor(F.rand(7) * salts)).otherwise(0).cast("int")).drop("__hot")
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(salts))).otherwise(0).cast("int")).drop("__hot")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copied = facts.join(F.broadcast(hot), key, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
     return dealt.join(copied, [key, "__salt"], how).drop("__salt")
