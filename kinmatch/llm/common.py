@@ -56,6 +56,14 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, whatever it has."""
+    name = f"__{name}"
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "left", *, salts: int = 32, share: int = 1000) -> DataFrame:
     """``rows`` joined to ``facts`` (one row a key), with keys of many rows dealt to ``salts`` tasks.
 

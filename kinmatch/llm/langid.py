@@ -2,16 +2,21 @@
 
 A word seen in training adds its log frequency in each language. A word not seen adds the mean log
 frequency of its longest n-grams that were seen (5 letters down to 1, with word ends marked). The
-language with the largest sum wins; equal sums go to the first in alphabetical order.
+language with the largest sum wins; equal sums go to the first in alphabetical order. Words are
+letters with their combining marks, as Unicode's categories have them; numerals are no letters.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text
-when there was nothing to learn from. A null id counts as held out. Texts are read whole.
+when there was nothing to learn from. A null id counts as held out. Texts are read whole. Repeated
+rows count once in training and are predicted each; an empty table gives no rows; columns of the
+input that are called as the result's own are replaced.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,9 +26,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import drop_table, write_table
+from kinmatch.llm.common import drop_table, fresh_name, write_table
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _category(*kinds: str) -> str:
+    """A character class of all code points whose category begins with one of ``kinds``."""
+    held = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)).startswith(kinds)]
+    ranges, first = [], held[0]
+    for c, after in zip(held, [*held[1:], "\0"], strict=True):
+        if ord(after) != ord(c) + 1:
+            ranges.append(f"{first}-{c}")
+            first = after
+    return "".join(ranges)
+
+
+#: A letter, then letters, marks, and the joiners that some scripts have inside words.
+_LETTER = _category("L")
+_WORD = re.compile(f"[{_LETTER}][{_LETTER}{_category('M')}\u200c\u200d]*")
 ORDERS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 
@@ -86,15 +106,17 @@ class Model:
 
 
 def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", max_rows: int = 6000, min_count: int = 2) -> Model:
-    """Fit on about ``max_rows`` labelled rows, all of them if there are no more.
+    """Fit on about ``max_rows`` labelled texts at most, all of them if there are no more rows.
 
-    A row is in the sample if a hash of its text falls below the share that makes ``max_rows``
-    expected, so the model, which goes to every task, doesn't grow with the corpus.
+    A row is in the sample if a hash of its text falls below the share that makes ``max_rows`` of
+    different texts expected; equal rows count once, so a text on half of all rows is one row of the
+    sample. The model, which goes to every task, doesn't grow with the corpus.
     """
     rows = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     n = rows.count()
     if n > max_rows:
         rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(n)) < max_rows)
+    rows = rows.distinct()
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: Counter = Counter()
@@ -147,23 +169,22 @@ def fit(found: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], in
     return Model(langs, tables, (rows - rows.mean(axis=1, keepdims=True)).astype(np.float32))
 
 
-def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of each row with ``lang_pred`` and ``score``."""
-    keep = docs.columns if keep is None else keep
-    if {"lang_pred", "score"} & set(keep):
-        raise ValueError("lang_pred and score are the operator's own columns")
+def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str] | None = None, pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """The columns ``keep`` of each row with the language and its score."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (pred_col, score_col)]
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables, model.rows))
-    rows = docs.select(F.col(text_col).cast("string").alias("__text"), *[F.col(c) for c in keep])
+    body = fresh_name(docs, "text")
+    rows = docs.select(F.col(text_col).cast("string").alias(body), *[F.col(c) for c in keep])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
             made = [own.predict(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], names=[*batch.schema.names[1:], "lang_pred", "score"]
+                [*batch.columns[1:], pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], names=[*batch.schema.names[1:], pred_col, score_col]
             )
 
-    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = rows.drop(body).schema.add(pred_col, "string").add(score_col, "double")
     return rows.mapInArrow(predict, schema)
 
 

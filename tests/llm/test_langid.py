@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from kinmatch.llm import langid
@@ -46,10 +45,67 @@ def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "hello", None)], "doc_id long, text string, lang string")
     model = langid.train(docs)
     assert [(r["lang_pred"], r["score"]) for r in langid.identify(docs, model).collect()] == [("und", 0.0)]
-    with pytest.raises(ValueError):
-        langid.identify(docs.withColumn("score", F.lit(1)), model)
+    clashing = docs.selectExpr("*", "1 AS score", "2 AS __text", "3 AS lang_pred")
+    assert [r.asDict() for r in langid.identify(clashing, model).collect()] == [{"doc_id": 1, "text": "hello", "lang": None, "__text": 2, "lang_pred": "und", "score": 0.0}]
+    assert langid.identify(clashing, model, pred_col="p", score_col="q").columns == [*clashing.columns, "p", "q"]
+    assert langid.identify(docs.limit(0), model).count() == 0
+
+
+def test_letters_are_told_by_category():
+    assert langid.words_of("½ ² Ⅷ ٣ 12") == []
+    assert langid.words_of("हिन्दी भाषा; Été d’été e\u0301te\u0301 x² می\u200cخواهم") == ["हिन्दी", "भाषा", "été", "d", "été", "e\u0301te\u0301", "x", "می\u200cخواهم"]
+    model = langid.fit([("a", 0, "word", 9)], {("a", 0): 9}, ["a"])
+    assert model.predict("½ ² \u0301 42") == ("und", 0.0) and model.predict("भाषा")[0] == "a"
+
+
+def brute_predict(train, text, orders=(5, 4, 3, 2, 1), min_count=2):
+    """The same scores from plain dictionaries, one word at a time."""
+    import math
+    from collections import Counter
+
+    counts, totals, langs = {n: Counter() for n in (0, *orders)}, Counter(), sorted({lang for _, lang in train})
+    parts = lambda w, n: [w] if n == 0 else list(w) if n == 1 else [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)]
+    for body, lang in set(train):
+        for w in body.lower().split():
+            for n in (0, *orders):
+                for g in parts(w, n):
+                    counts[n][lang, g] += 1
+                    totals[lang, n] += 1
+    kept = {n: {k: c for k, c in counts[n].items() if c >= (min_count if n == 0 else 2 * min_count)} for n in counts}
+    size = sum(len({g for _, g in kept[n]}) for n in kept)
+
+    def row(n, g):
+        logs = [math.log((kept[n].get((lang, g), 0) + 0.5) / (totals[lang, n] + 0.5 * size)) for lang in langs]
+        return [x - sum(logs) / len(logs) for x in logs]
+
+    total = [0.0] * len(langs)
+    for w in text.lower().split():
+        for n in (0, *orders):
+            known = [g for g in parts(w, n) if any((lang, g) in kept[n] for lang in langs)]
+            if known:
+                total = [t + sum(row(n, g)[i] for g in known) / len(known) for i, t in enumerate(total)]
+                break
+    best = max(range(len(langs)), key=lambda i: (total[i], -i))
+    return langs[best], 1 / sum(math.exp((t - total[best]) / math.sqrt(len(text.split()))) for t in total)
+
+
+def test_against_brute_force(spark):
+    rows = corpus(120)
+    docs = spark.createDataFrame([*rows, *rows[:30]], "doc_id long, text string, lang string")
+    learned = [(text, lang) for i, text, lang in rows if i % 2]
+    model = langid.train(docs.filter("doc_id % 2 = 1"))
+    new = [("zzz", 0), ("thetion sch", 0), ("keitqu eauxyz", 0)] + [(text, i) for i, text, _ in rows[::2]]
+    got = langid.identify(spark.createDataFrame(new, "text string, n int"), model).collect()
+    for r in got:
+        lang, score = brute_predict(learned, r["text"])
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-3, r
 
 
 def test_bounded_sample(spark):
     docs = spark.createDataFrame(corpus(300), "doc_id long, text string, lang string")
     assert langid.train(docs, max_rows=60).langs == ["de", "en", "fr"]
+    # a text on most rows is one row of the sample, or none
+    popular = docs.union(docs.filter("doc_id = 1").crossJoin(spark.range(5000)).select(docs.columns))
+    for limit in (60, 10**6):
+        model = langid.train(popular, max_rows=limit)
+        assert model.predict("zzzz")[1] < 1 and len(model.tables.get(0, {})) <= len(langid.train(docs).tables[0])
