@@ -4,7 +4,8 @@ A document's ids are cut into whole sequences and a rest. Pieces are dealt at ra
 in each group the pieces, longest first, go to the first sequence with room, which a tournament
 tree of free room finds in the logarithm of the number of sequences.
 
-Defined results: a null or empty text is a document of its end id alone; repeated rows are packed
+Defined results: a null or empty text is a document of its end id alone; the string of a special token
+in a text is read as that token; repeated rows are packed
 each; an empty table gives no rows; other columns of the input are ignored.
 """
 
@@ -37,7 +38,8 @@ class Encoder:
     """The ids that the ``tokenizers`` library gives for a byte-level BPE file.
 
     ``tiktoken`` gives the same ids from the same vocabulary, several times faster. It is used for
-    plain texts, where the two split words alike; all others go to the library itself.
+    plain texts, where the two split words alike; all others go to the library itself, and so do
+    texts that hold the string of a special token, which the library reads as that token.
     """
 
     def __init__(self, path: str):
@@ -45,10 +47,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # such strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         special = {x["content"] for x in said.get("added_tokens", ())}
+        self.special = re.compile("|".join(map(re.escape, sorted(special))) or r"(?!)")
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
@@ -57,7 +59,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if _PLAIN.fullmatch(text):
+        if _PLAIN.fullmatch(text) and not self.special.search(text):
             return np.asarray(self.fast.encode_ordinary(text), dtype="<u4")
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
 

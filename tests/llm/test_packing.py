@@ -25,11 +25,11 @@ def test_tree_is_first_fit_decreasing():
 
 def test_ids_are_the_librarys():
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    texts = ["", " ", "a  b\n\n c\t", "it's  you'LL", "naïve élan ß 12½ ²", "x y\x1cz\x85w᠎", "日本語 ٣٤ हिन्दी", "<|endoftext|> a", "!!??  ...", "\r\n\r\n  x", "a b", "‘q’ “r” – €5", "\x00\x07"]
+    texts = ["", " ", "a  b\n\n c\t", "it's  you'LL", "naïve élan ß 12½ ²", "x y\x1cz\x85w᠎", "日本語 ٣٤ हिन्दी", "<|endoftext|> a", "hello <|endoftext|> world", "<|endoftext|><|endoftext|>é<|endof", "!!??  ...", "\r\n\r\n  x", "a b", "‘q’ “r” – €5", "\x00\x07"]
     rng = random.Random(2)
     texts += ["".join(rng.choices("aé 's\n\t1½!²ßÿ×÷«€–", k=40)) for _ in range(300)]
     fast = encoder(tokenizer_path())
+    assert fast.ids("hello <|endoftext|> world").tolist() == [31373, 220, 50256, 995]
     for x in texts:
         assert fast.ids(x).tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
 
@@ -61,5 +61,5 @@ def test_packed_whole_and_tight(spark, documents, nothing):
     assert set(seen) == set(ids)
     assert len(bins) * 128 <= 1.25 * sum(len(x) for d, x in ids.items() for _ in range(times[d])) + 128 * 8
     assert pack(nothing).count() == 0
-    with_ids = pieces(documents, path=tokenizer_path(), with_ids=True).filter("doc_id = 30" if False else "id = 30").collect()
+    with_ids = pieces(documents, path=tokenizer_path(), with_ids=True).filter("id = 30").collect()
     assert [x for r in with_ids for x in r["ids"]] == ids[30].tolist()
