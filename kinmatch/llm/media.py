@@ -46,7 +46,7 @@ class _Interleaver(HTMLParser):
         self.words: list[str] = []
         self.caption: list[str] | None = None
         self.skip = 0
-        self.figure = -1
+        self.figure: int | None = None
 
     def flush(self):
         text = " ".join("".join(self.words).split())
@@ -54,15 +54,33 @@ class _Interleaver(HTMLParser):
         if text:
             self.items.append({"kind": "text", "text": text, "digest": None, "caption": None})
 
+    def end_caption(self):
+        """The open caption goes to the media of its figure; of a figure without any it is text."""
+        if self.caption is None:
+            return
+        text, self.caption = " ".join("".join(self.caption).split()), None
+        media = [x for x in self.items[self.figure :] if x["kind"] == "media"]
+        for item in media:
+            item["caption"] = text or item["caption"]
+        if text and not media:
+            self.items.append({"kind": "text", "text": text, "digest": None, "caption": None})
+
+    def end_figure(self):
+        self.flush()
+        self.end_caption()
+        self.figure = None
+
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
             self.skip += 1
         elif tag == "figure":
-            self.flush()
+            self.end_figure()
             self.figure = len(self.items)
         elif tag == "figcaption":
             self.flush()
-            self.caption = []
+            self.end_caption()
+            if self.figure is not None:
+                self.caption = []
         elif tag in _MEDIA:
             self.flush()
             said = dict(attrs)
@@ -70,21 +88,20 @@ class _Interleaver(HTMLParser):
             self.items.append({"kind": "media", "text": None, "digest": source.removeprefix("sha256:") if source.startswith("sha256:") else None, "caption": said.get("alt") or None})
         elif tag in _BREAKS:
             self.flush()
+            if self.caption is not None:
+                self.caption.append(" ")
 
     def handle_endtag(self, tag):
         if tag in ("script", "style"):
             self.skip = max(0, self.skip - 1)
-        elif tag == "figcaption" and self.caption is not None:
-            text = " ".join("".join(self.caption).split())
-            self.caption = None
-            for item in self.items[max(self.figure, 0) :]:
-                if item["kind"] == "media":
-                    item["caption"] = text or item["caption"]
         elif tag == "figure":
-            self.flush()
-            self.figure = -1
+            self.end_figure()
         elif tag in _BREAKS:
             self.flush()
+            if tag == "figcaption":
+                self.end_caption()
+            elif self.caption is not None:
+                self.caption.append(" ")
 
     def handle_data(self, data):
         if not self.skip:
@@ -92,11 +109,15 @@ class _Interleaver(HTMLParser):
 
 
 def interleave(html: str | None) -> list[dict]:
-    """Text and media references in page order; a figure's caption belongs to its media."""
+    """Text and media references in page order; a figure's caption belongs to the media before it there.
+
+    A caption ends with its element, its figure, or the next one; outside of a figure, or in one
+    without media, it is text.
+    """
     parser = _Interleaver()
     parser.feed(html or "")
     parser.close()
-    parser.flush()
+    parser.end_figure()
     return [{"position": i, **x} for i, x in enumerate(parser.items)]
 
 
