@@ -4,15 +4,22 @@ Words are runs of ASCII letters and digits (A-Z lower-cased) and of bytes from 0
 normalisation maps byte to byte before it squeezes separators, so a word's place in the original
 text is known without a second parse.
 
+A window is ``width`` consecutive words of an item. The automaton doesn't hold the windows, which
+overlap, but the blocks that an item is cut into, of half as many words (rounded up): wherever a
+window occurs, one of its item's blocks does. Where a block occurs, the words on both sides are
+compared with the item's, and the whole run counts if it has at least ``width`` words. Its states
+are thus no more than the bytes of the items, not ten times as many.
+
 Defined results: a null or empty text has no words, no hits and no items; an item without words
 matches nothing; repeated documents each get their own row; an item id that is null is named
 ``null``; equal items all count; an empty benchmark leaves every document clean. The input's other
-columns are never looked at, whatever their names.
+columns are never looked at, whatever their names. Ids of documents are whole numbers.
 """
 
 from __future__ import annotations
 
 import bisect
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,10 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import byte_views, write_table
+from kinmatch.llm.common import byte_views, drop_table, write_table
 
 #: A byte's normal form: a space for a separator.
 _NORMAL = bytes(b if b >= 0x80 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
+#: Bytes of normal words that one automaton holds at most; about 40 bytes of a worker's memory each.
+AUTOMATON_BYTES = 6_000_000
+#: Words of an item that go to one automaton; longer items are cut, with an overlap that keeps all windows.
+ITEM_WORDS = 4096
 
 _SCHEMA = "id long, n_words long, n_hit long, hit_words binary, items array<string>, spans array<struct<start:int,end:int>>"
 
@@ -33,28 +44,33 @@ def normal_words(text: bytes) -> list[bytes]:
     return text.translate(_NORMAL).split()
 
 
-def windows(words: list[bytes], width: int) -> set[bytes]:
-    """The runs of ``width`` words; all of a shorter item as one run; none of an empty one."""
-    return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
-
-
 class Automaton:
-    """All windows of all items. Keys begin and end with a space, so matches are whole words.
+    """All blocks of all items. Keys begin and end with a space, so matches are whole words.
 
     The library's automaton works on code points; bytes are handed over as Latin-1, one each.
     """
 
     def __init__(self, items: list[tuple[str, bytes]], width: int):
-        self.names = [name for name, _ in items]
-        owners: dict[bytes, list[int]] = {}
-        for i, (_, text) in enumerate(items):
-            for window in windows(normal_words(text), width):
-                owners.setdefault(window, []).append(i)
+        self.width, block = width, (width + 1) // 2
+        self.names: list[str] = []
+        self.texts: list[list[bytes]] = []
+        known: dict[bytes, bytes] = {}
+        places: dict[bytes, list[tuple[int, int]]] = {}
+        for name, text in items:
+            words = [known.setdefault(w, w) for w in normal_words(text)]
+            if not words:
+                continue
+            own, n = len(self.texts), len(words) if len(words) < width else block
+            self.names.append(name)
+            self.texts.append(words)
+            for at in range(0, len(words) - n + 1, n):
+                places.setdefault(b" ".join(words[at : at + n]), []).append((own, at))
         self.auto = ahocorasick.Automaton()
-        for window, own in owners.items():
-            self.auto.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, own))
+        while places:
+            key, found = places.popitem()
+            self.auto.add_word(f" {key.decode('latin-1')} ", (key.count(b" ") + 1, found))
+        self.empty = not self.texts
         self.auto.make_automaton()
-        self.empty = not owners
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[int]]:
         """Which words lie inside an occurrence, and the items that occur."""
@@ -63,16 +79,41 @@ class Automaton:
             return hit[:-1] > 0, found
         text = f" {b' '.join(words).decode('latin-1')} "
         gaps: list[int] | None = None
-        for end, (length, own) in self.auto.iter(text):
+        seen: dict[tuple[int, int], int] = {}  # of an item and a shift, the end of the last run
+        for end, (n, owners) in self.auto.iter(text):
             if gaps is None:
                 gaps = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
-            last = bisect.bisect_left(gaps, end)
-            hit[last - length] += 1
-            hit[last] -= 1
-            found.update(own)
+            stop = bisect.bisect_left(gaps, end)
+            first = stop - n
+            for own, at in owners:
+                if seen.get((own, first - at), 0) >= stop:
+                    continue
+                item = self.texts[own]
+                a, b, shift = first, stop, at - first
+                while a > 0 and a + shift > 0 and words[a - 1] == item[a + shift - 1]:
+                    a -= 1
+                while b < len(words) and b + shift < len(item) and words[b] == item[b + shift]:
+                    b += 1
+                seen[own, first - at] = b
+                if b - a >= min(self.width, len(item)):
+                    hit[a] += 1
+                    hit[b] -= 1
+                    found.add(own)
         return np.cumsum(hit[:-1]) > 0, found
 
 
+_last: dict[str, Automaton] = {}
+
+
+def _automaton(items, width: int) -> Automaton:
+    """The automaton of a broadcast, kept for the tasks that a worker runs one after another."""
+    token, own = items.value
+    if token not in _last:
+        _last.clear()
+        _last[token] = Automaton(own, width)
+    return _last[token]
+
+
 def original_spans(text: bytes, hit: np.ndarray) -> list[dict[str, int]]:
     """Code-point ranges of the original text that the runs of hit words cover."""
     if not hit.any():
@@ -87,7 +128,7 @@ def original_spans(text: bytes, hit: np.ndarray) -> list[dict[str, int]]:
 
 def _scan_rows(items, width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = Automaton(items.value, width)
+        auto = _automaton(items, width)
         for batch in batches:
             out: list[tuple] = []
             for i, text in enumerate(byte_views(batch.column(1))):
@@ -116,49 +157,66 @@ def _scan_rows(items, width: int):
     return rows
 
 
-def _rounds(benchmark: DataFrame, item_id: str, item_text: str, automaton_bytes: int) -> tuple[DataFrame, int]:
-    """The items with the part of the benchmark that each belongs to, and the number of parts."""
-    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("name"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("body"))
+def _rounds(benchmark: DataFrame, item_id: str, item_text: str, automaton_bytes: int, width: int) -> tuple[DataFrame, int]:
+    """The items, long ones in portions, with the part of the benchmark that each belongs to, and the number of parts."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(ITEM_WORDS, 2 * width)
+        for batch in batches:
+            names, bodies = [], []
+            for name, text in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), strict=True):
+                words = normal_words(text)
+                for at in range(0, max(1, len(words) - width + 1), step):
+                    names.append(name)
+                    bodies.append(b" ".join(words[at : at + step + width - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bodies, pa.binary())], names=["name", "body"])
+
+    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("name"), F.col(item_text).cast("string").alias("body"))
+    items = write_table(items.mapInArrow(cut, "name string, body binary").distinct(), "benchmark")
     total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     rounds = max(1, -(-total // automaton_bytes))
-    return items.withColumn("part", F.pmod(F.xxhash64("name", "body"), F.lit(rounds))).distinct(), rounds
+    return items.withColumn("part", F.pmod(F.xxhash64("name", "body"), F.lit(rounds))), rounds
 
 
 def _items_of(items: DataFrame, part: int):
     """A part, broadcast; its size is bounded by what :func:`_rounds` was given."""
-    own = [(r["name"], r["body"].encode("utf-8", "surrogatepass")) for r in items.filter(F.col("part") == part).collect()]
-    return items.sparkSession.sparkContext.broadcast(own)
+    own = [(r["name"], bytes(r["body"])) for r in items.filter(F.col("part") == part).collect()]
+    return items.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, own))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10, automaton_bytes: int = 8_000_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs; nothing is shuffled."""
-    items, rounds = _rounds(benchmark, item_id, item_text, automaton_bytes)
-    place = docs.columns.index(text_col)
+    items, rounds = _rounds(benchmark, item_id, item_text, automaton_bytes, width)
+    place, before = docs.columns.index(text_col), None
     for part in range(rounds):
         own = _items_of(items, part)
 
         def clean(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
-            auto = Automaton(own.value, width)
+            auto = _automaton(own, width)
             for batch in batches:
                 yield batch.filter(pa.array([not auto.scan(normal_words(t))[1] for t in byte_views(batch.column(place))], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)
         if part + 1 < rounds:
             docs = write_table(docs, "clean")
+            if before is not None:
+                drop_table(before)
+            before = docs
     return docs
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10, automaton_bytes: int = 8_000_000
+    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10, automaton_bytes: int = AUTOMATON_BYTES
 ) -> DataFrame:
     """``id, n_words, n_hit, items, spans, contaminated`` for each document.
 
     The benchmark reaches the tasks as a broadcast of at most about ``automaton_bytes`` of item
-    text. A larger benchmark is dealt into that many parts by hash and the documents are scanned
+    words. A larger benchmark is dealt into that many parts by hash and the documents are scanned
     once a part, with a written table between the rounds; hits add up, so the result is the same.
     """
-    items, rounds = _rounds(benchmark, item_id, item_text, automaton_bytes)
+    items, rounds = _rounds(benchmark, item_id, item_text, automaton_bytes, width)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    before = None
     for part in range(rounds):
         scan = _scan_rows(_items_of(items, part), width)
         if part + 1 == rounds and part == 0:
@@ -167,6 +225,9 @@ def find_contamination(
             if part == 0:
                 rows = rows.select("id", "text", F.lit(None).cast("binary").alias("hit_words"), F.array().cast("array<string>").alias("items"), F.lit(0).alias("more"))
             rows = write_table(rows.select("id", "text", "hit_words", "items", F.lit(0).alias("more")).mapInArrow(scan, f"{_SCHEMA}, text string"), "decontaminate")
+            if before is not None:
+                drop_table(before)
+            before = rows
     return rows.select("id", "n_words", "n_hit", "items", "spans").withColumn("contaminated", F.col("n_hit") > 0)
 
 
