@@ -32,8 +32,8 @@ from kinmatch.llm.common import byte_views, drop_table, write_table
 
 #: A byte's normal form: a space for a separator.
 _NORMAL = bytes(b if b >= 0x80 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
-#: Bytes of normal words that one automaton holds at most; about 40 bytes of a worker's memory each.
-AUTOMATON_BYTES = 6_000_000
+#: Bytes of normal words that one automaton holds at most; about 60 bytes of a worker's memory each.
+AUTOMATON_BYTES = 4_000_000
 #: Words of an item that go to one automaton; longer items are cut, with an overlap that keeps all windows.
 ITEM_WORDS = 4096
 
