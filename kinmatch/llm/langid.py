@@ -41,15 +41,20 @@ def _category(*kinds: str) -> str:
     return "".join(ranges)
 
 
+_JOINERS = "\u200c\u200d"
 #: A letter, then letters, marks, and the joiners that some scripts have inside words.
-_LETTER = _category("L")
-_WORD = re.compile(f"[{_LETTER}][{_LETTER}{_category('M')}\u200c\u200d]*")
+_WORD = re.compile(f"[{_category('L')}][{_category('L', 'M')}{_JOINERS}]*")
+#: Without marks, joiners and numerals that aren't decimal digits, words are runs of what is neither digit nor line.
+_PLAIN_WORD = re.compile(r"[^\W\d_]+")
+#: Ranges that have such characters; Latin, Greek and Cyrillic letters and general punctuation are none of them.
+_RARE = re.compile("[\u00b2\u00b3\u00b9\u00bc-\u00be\u0300-\u036f\u0483-\u1fff\u200c\u200d\u2070-\U0010ffff]")
 ORDERS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    text = text.lower()
+    return (_PLAIN_WORD if text.isascii() or not _RARE.search(text) else _WORD).findall(text)
 
 
 def grams_of(word: str, n: int) -> list[str]:
