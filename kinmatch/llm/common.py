@@ -31,9 +31,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="kinmatch-")
         spark.conf.set("spark.checkpoint.dir", base)
         atexit.register(shutil.rmtree, base.removeprefix("file://"), ignore_errors=True)
-    if "://" not in base:
-        base = base if base.startswith("file:") else f"file://{base}"
-    return f"{base.rstrip('/')}/kinmatch/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)  # without a scheme it lies in the cluster's default file system
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path)
+    return f"{whole.toString().rstrip('/')}/kinmatch/{name}-{uuid.uuid4().hex}"
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -107,6 +107,13 @@ def utf8(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
+def slices(batches, rows: int = 256):
+    """The batches in slices of few rows, so that texts aren't all Python objects, or results all held, at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def byte_views(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of an Arrow string column's rows; a null gives no bytes."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import byte_views, drop_table, write_table
+from kinmatch.llm.common import byte_views, drop_table, slices, write_table
 
 #: A byte's normal form: a space for a separator.
 _NORMAL = bytes(b if b >= 0x80 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
@@ -129,7 +129,7 @@ def original_spans(text: bytes, hit: np.ndarray) -> list[dict[str, int]]:
 def _scan_rows(items, width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = _automaton(items, width)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for i, text in enumerate(byte_views(batch.column(1))):
                 words = normal_words(text)
@@ -193,7 +193,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
 
         def clean(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
             auto = _automaton(own, width)
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not auto.scan(normal_words(t))[1] for t in byte_views(batch.column(place))], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import spread_join, write_table
+from kinmatch.llm.common import slices, spread_join, write_table
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -287,7 +287,7 @@ def style_tree(pages: DataFrame, *, min_pages: int = 4) -> DataFrame:
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*seen, strict=True), kinds, strict=True)], names=["host", "page", "path", "layout", "content"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 page = Page(html)
                 text = _signed(_digest(page.main_text()))
@@ -313,7 +313,7 @@ def style_tree(pages: DataFrame, *, min_pages: int = 4) -> DataFrame:
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out = [(key, host, _signed(p)) for key, host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True) for p in Page(html).styles()]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.string(), pa.int64()), strict=True)], names=["key", "host", "path"])
@@ -334,7 +334,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
         joined = spread_join(keyed, met.groupBy("key").agg(F.collect_list("at.path").alias("low")), "key")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [Page(html).main_text({p & (1 << 64) - 1 for p in paths or ()}) for html, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 

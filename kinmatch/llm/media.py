@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import byte_views, open_fs, put_file, shared_dir, spread_join, write_table
+from kinmatch.llm.common import byte_views, open_fs, put_file, shared_dir, slices, spread_join, write_table
 
 LINE = 192
 SEQUENCE = "array<struct<position:int,kind:string,text:string,digest:string,caption:string>>"
@@ -126,7 +126,7 @@ def sequences(pages: DataFrame, *, id_col: str, html_col: str) -> DataFrame:
     kind = pa.list_(pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("digest", pa.string()), ("caption", pa.string())]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([interleave(h) for h in batch.column(1).to_pylist()], kind)], names=["id", "sequence"])
 
     return pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string")).mapInArrow(parse, f"id {dict(pages.dtypes)[id_col]}, sequence {SEQUENCE}")
@@ -202,7 +202,7 @@ def store_texts(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_co
             return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], schema=schema)
 
         schema = pa.schema([("id", pa.int64()), ("html", pa.string()), ("digest", pa.string()), ("uri", pa.string()), ("at", pa.int64()), ("n", pa.int64()), ("n_bytes", pa.int64())])
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), strict=True):
                 key = hashlib.sha256(text).digest()
                 if key not in known:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import write_table
+from kinmatch.llm.common import slices, write_table
 
 END_ID = 1
 LENGTH = 2048
@@ -135,7 +135,7 @@ def pieces(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col: str
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).ids
         count, task = 0, TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches, 4096):
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(encode(text or ""), np.uint32(END_ID)).astype("<u4")
