@@ -9,16 +9,17 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import BooleanType, LongType
+from pyspark.sql.types import BooleanType
 
 
 def _blake(text: str, order: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), order)
 
 
-def term_bucket(term: str, bits: int) -> int:
-    """A term's bucket: BLAKE2b to 64 bits, read from its low end."""
-    return _blake(term, "little") % (1 << bits)
+def term_bucket(term: str, bits: int, hash_fn: str = "blake2b") -> int:
+    """A term's bucket: BLAKE2b to 64 bits, read from its low end, or ``md5`` to 60 bits, which SQL has too."""
+    number = int(hashlib.md5(term.encode()).hexdigest()[:15], 16) if hash_fn == "md5" else _blake(term, "little")
+    return number % (1 << bits)
 
 
 def split_share(seed: int, country: str, has_match: bool, sid: str) -> float:
@@ -26,21 +27,6 @@ def split_share(seed: int, country: str, has_match: bool, sid: str) -> float:
     return _blake(f"{seed}|{country}|{int(has_match)}|{sid}", "big") / 2.0**64
 
 
-def bucket(term: Column, bits: int, hash_fn: str = "blake2b") -> Column:
-    """``blake2b`` (batched Python), ``md5`` (in the JVM) or ``none``: a 64-bit hash for the term itself."""
-    if hash_fn == "none":
-        return F.xxhash64(term)
-    if hash_fn == "md5":
-        return F.conv(F.substring(F.md5(term), 1, 15), 16, 10).cast("long").bitwiseAND(F.lit((1 << bits) - 1))
-
-    @pandas_udf(LongType())
-    def blake(values: pd.Series) -> pd.Series:
-        known = {t: term_bucket(t, bits) for t in values.unique()}
-        return values.map(known)
-
-    return blake(term)
-
-
 def in_validation(sid: Column, country: Column, has_match: Column, seed: int, fraction: float, hash_fn: str = "blake2b") -> Column:
     """Whether a query belongs to the validation split; a property of the query, never of a pair."""
     if hash_fn == "md5":

@@ -95,27 +95,29 @@ def sequence_ratio(a: Column, b: Column) -> Column:
     return F.when((a != "") & (b != ""), _sequence_ratio(a, b))
 
 
+def _flat(packed: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in each row of packed ones, and all of them in a row."""
+    width, offsets, data = np.dtype(kind).itemsize, packed.buffers()[1], packed.buffers()[2]
+    if not len(packed) or data is None:
+        return np.zeros(len(packed), np.int64), np.zeros(0, kind)
+    at = np.frombuffer(offsets, np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    return np.diff(at) // width, np.frombuffer(data, kind, count=int(at[-1] - at[0]) // width, offset=int(at[0]))
+
+
 @arrow_udf(DoubleType())
 def _dot(ia: pa.Array, va: pa.Array, ib: pa.Array, vb: pa.Array) -> pa.Array:
-    def flat(indices: pa.Array, values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        sizes = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        return np.repeat(np.arange(len(sizes)), sizes), indices.flatten().to_numpy(), values.flatten().to_numpy()
-
-    ra, xa, wa = flat(ia, va)
-    rb, xb, wb = flat(ib, vb)
+    (na, xa), (nb, xb) = _flat(ia, "<i4"), _flat(ib, "<i4")
+    wa, wb = _flat(va, "<f8")[1], _flat(vb, "<f8")[1]
     if not len(xa) or not len(xb):
         return pa.array(np.zeros(len(ia)))
-    if min(xa.min(), xb.min()) < 0 or max(xa.max(), xb.max()) >= 1 << 32:  # hashes: to dense codes, in the same order
-        names = np.unique(np.concatenate([xa, xb]))
-        xa, xb = np.searchsorted(names, xa), np.searchsorted(names, xb)
-    # a row's indices ascend, so all keys do, and each is looked up in the other side's
-    ka, kb = (ra << 32) | xa, (rb << 32) | xb
+    # a row's buckets ascend, so all keys do, and each is looked up in the other side's
+    ka, kb = ((np.repeat(np.arange(len(n)), n) << 32) | x for n, x in ((na, xa), (nb, xb)))
     at = np.minimum(np.searchsorted(kb, ka), len(kb) - 1)
     met = kb[at] == ka
-    return pa.array(np.bincount(ra[met], weights=wa[met] * wb[at[met]], minlength=len(ia)).astype(float))
+    return pa.array(np.bincount(ka[met] >> 32, weights=wa[met] * wb[at[met]], minlength=len(ia)).astype(float))
 
 
 def sparse_cosine(a: str, b: str) -> Column:
-    """Of two sparse unit vectors ``struct<i: array<long>, v: array<double>>``: their product, in [0, 1]."""
+    """Of two packed unit vectors ``struct<i: binary, v: binary>``: their product, in [0, 1]."""
     product = _dot(F.col(f"{a}.i"), F.col(f"{a}.v"), F.col(f"{b}.i"), F.col(f"{b}.v"))
-    return F.when((F.size(f"{a}.i") > 0) & (F.size(f"{b}.i") > 0), F.least(F.lit(1.0), F.greatest(F.lit(0.0), product)))
+    return F.when((F.octet_length(f"{a}.i") > 0) & (F.octet_length(f"{b}.i") > 0), F.least(F.lit(1.0), F.greatest(F.lit(0.0), product)))

@@ -8,6 +8,7 @@ a query may take from it; a hot key costs a bounded join. ``bm25`` mode scores f
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from kinmatch.functions import text as T
 from kinmatch.functions.constants import CHANNELS, CITY_STOP_WORDS, SCORE_WEIGHTS
 from kinmatch.functions.similarity import sparse_cosine
-from kinmatch.operators.tfidf import Tfidf, query_tokens, vectors
+from kinmatch.operators.tfidf import Tfidf, indexed
+from kinmatch.sources.staging import discard, staged
 
 ANY, UNKNOWN = "*", "UNKNOWN"
 _SEP = "\x1f"
@@ -83,65 +85,111 @@ def _first(df: DataFrame, by: list[str], n: int) -> DataFrame:
 
 
 class Blocker:
-    """References indexed for queries. ``references`` are records with ``rid`` (the order of ingest)."""
+    """References indexed for queries. ``references`` are records with ``rid`` (the order of ingest).
 
-    def __init__(self, references: DataFrame, model: Tfidf, limits: Limits = Limits(), any_class: bool = True):
+    What several branches of a plan read (keys, tokens, hits, cosines) is written once; :meth:`forget`
+    removes those tables when the results are no longer read.
+    """
+
+    def __init__(self, references: DataFrame, model: Tfidf | None, limits: Limits = Limits(), any_class: bool = True):
         if limits.retrieval not in ("rowid", "bm25"):
             raise ValueError("retrieval must be rowid or bm25")
-        self.references, self.model, self.limits = references, model, limits
-        classed = references.withColumn("class", F.explode(_classes_of_reference(any_class)))
-        self.keys = classed.select("class", "rid", F.explode(block_keys()).alias("k")).select("class", "rid", "k.*")
-        tokens = [classed.select("class", "rid", F.lit(f).alias("field"), F.explode(T.lexical_tokens(t())).alias("token")) for f, t in (("name", T.name_text), ("address", T.address_text))]
-        self.tokens = tokens[0].union(tokens[1])
+        self.references, self.model, self.limits, self.any_class = references, model, limits, any_class
+        self._tables: list[DataFrame] = []
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        self._tables.append(staged(df, name))
+        return self._tables[-1]
+
+    def forget(self) -> None:
+        """Remove the tables that queries have left; those of the references stay."""
+        kept = [self.__dict__.get(x) for x in ("keys", "index")]
+        for table in self._tables:
+            if not any(table is x for x in kept):
+                discard(table)
+        self._tables = [t for t in self._tables if any(t is x for x in kept)]
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        """``class, rid, channel, key``."""
+        found = self.references.select("rid", _classes_of_reference(self.any_class).alias("classes"), F.explode(block_keys()).alias("k"))
+        return self._keep(found.select(F.explode("classes").alias("class"), "rid", "k.*"), "keys")
+
+    @cached_property
+    def index(self) -> DataFrame:
+        """``rid, classes, eid, name_basic, candidate_source``, vectors and tokens."""
+        named = self.references.select("rid", _classes_of_reference(self.any_class).alias("classes"), F.col("entity_id").alias("eid"), F.col("source").alias("candidate_source"), F.col("name_basic").alias("rname"))
+        return self._keep(named.join(indexed(self.references, self.model, 0, "rid").drop("asked"), "rid"), "index")
+
+    def _tokens(self, asked: DataFrame) -> DataFrame:
+        """``class, rid, field, token``, of tokens that some query asks for."""
+        every = self.index.select("rid", F.explode("classes").alias("class"), "tokens").select("rid", "class", F.explode("tokens").alias("t")).select("class", "rid", "t.*")
+        return every.join(asked.select("class", "field", "token").distinct(), ["class", "field", "token"], "left_semi")
+
+    def read(self, queries: DataFrame) -> DataFrame:
+        """Queries with their classes, keys, vectors and the tokens that they ask for."""
+        own = queries.select("entity_id", F.col("name_basic").alias("qname"), _classes_of_query().alias("classes"), block_keys().alias("keys"))
+        if self.model is None:
+            return self._keep(own.withColumnRenamed("entity_id", "sid"), "queries")
+        made = indexed(queries, self.model, self.limits.query_terms).select("entity_id", F.col("name_vector").alias("qn"), F.col("address_vector").alias("qa"), "asked")
+        return self._keep(own.join(made, "entity_id").withColumnRenamed("entity_id", "sid"), "queries")
+
+    @staticmethod
+    def _asked_keys(read: DataFrame) -> DataFrame:
+        return read.select("sid", F.explode("classes").alias("class"), "keys").select("sid", "class", F.explode("keys").alias("k")).select("sid", "class", "k.*")
+
+    @staticmethod
+    def _asked_tokens(read: DataFrame) -> DataFrame:
+        return read.select("sid", F.explode("classes").alias("class"), "asked").select("sid", "class", F.explode("asked").alias("t")).select("sid", "class", "t.*")
 
     def postings(self) -> DataFrame:
         """Key postings, each list cut to one more than a channel may use."""
         return _first(self.keys, ["class", "channel", "key"], self.limits.block_limit + 1)
 
-    def keyed_hits(self, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Hits of channels A to D that don't overflow, and the (query, channel) that do."""
-        asked = queries.select(F.col("entity_id").alias("sid"), F.explode(_classes_of_query()).alias("class"), block_keys().alias("ks")).select("sid", "class", F.explode("ks").alias("k")).select("sid", "class", "k.*")
-        hits = asked.join(self.postings(), ["class", "channel", "key"]).select("sid", "channel", "rid").distinct()
-        counted = hits.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sid", "channel")))
-        fits = counted.filter(F.col("n") <= self.limits.block_limit).select("sid", "channel", "rid")
+    def key_matches(self, read: DataFrame) -> DataFrame:
+        """``sid, channel, rid, n``: what shares a key, and how many do; beyond the limit, not all are listed."""
+        hits = self._asked_keys(read).join(self.postings(), ["class", "channel", "key"]).select("sid", "channel", "rid").distinct()
+        return self._keep(hits.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sid", "channel"))), "key-matches")
+
+    def keyed_hits(self, read: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Hits of channels A to D, and the (query, channel) that overflowed."""
+        counted = self.key_matches(read)
         over = counted.filter(F.col("n") > self.limits.block_limit).select("sid", "channel").distinct()
-        return fits.union(self._fallback(asked, over, queries)), over
+        fits = counted.filter(F.col("n") <= self.limits.block_limit).select("sid", "channel", "rid")
+        return fits.union(self._fallback(read, over)), over
 
-    def _fallback(self, asked: DataFrame, over: DataFrame, queries: DataFrame) -> DataFrame:
+    def _fallback(self, read: DataFrame, over: DataFrame) -> DataFrame:
         """Channels that overflow keep references that also share a query token, the first ``block_limit``.
 
         Lists of (key, token) exist for overflowing keys alone and are cut like the others.
         """
-        limit = self.limits.block_limit
-        keys = asked.join(over, ["sid", "channel"])
-        tokens = query_tokens(queries, self.model, self.limits.query_terms).select(F.col("entity_id").alias("sid"), "field", "token")
-        hot = self.keys.join(keys.select("class", "channel", "key").distinct(), ["class", "channel", "key"])
-        wanted = keys.join(tokens, "sid")
-        both = hot.join(self.tokens, ["class", "rid"])
-        both = both.join(wanted.select("class", "channel", "key", "field", "token").distinct(), ["class", "channel", "key", "field", "token"], "left_semi")
+        limit, at = self.limits.block_limit, ["class", "channel", "key", "field", "token"]
+        keys = self._asked_keys(read).join(over, ["sid", "channel"])
+        wanted = keys.join(self._asked_tokens(read), ["sid", "class"])
+        hot = self.keys.join(keys.select("class", "channel", "key").distinct(), ["class", "channel", "key"], "left_semi")
+        both = hot.join(self._tokens(wanted), ["class", "rid"]).join(wanted.select(*at).distinct(), at, "left_semi")
         if self.limits.retrieval == "rowid":
-            both = _first(both, ["class", "channel", "key", "field", "token"], limit)
-            hits = wanted.join(both, ["class", "channel", "key", "field", "token"]).select("sid", "channel", "rid").distinct()
+            hits = wanted.join(_first(both, at, limit), at).select("sid", "channel", "rid").distinct()
             return _first(hits, ["sid", "channel"], limit).select("sid", "channel", "rid")
-        hits = wanted.join(both, ["class", "channel", "key", "field", "token"]).select("sid", "channel", "rid", "field", "token").distinct()
+        hits = wanted.join(both, at).select("sid", "channel", "rid", "field", "token").distinct()
         return self._best(hits, "channel", limit)
 
-    def lexical_pool(self, queries: DataFrame) -> DataFrame:
+    def lexical_pool(self, read: DataFrame) -> DataFrame:
         """``sid, field, rid``: references that share a query token, the first ``lexical_pool``."""
-        pool = self.limits.lexical_pool
-        asked = query_tokens(queries, self.model, self.limits.query_terms).join(queries.select("entity_id", F.explode(_classes_of_query()).alias("class")), "entity_id").withColumnRenamed("entity_id", "sid")
+        pool, at = self.limits.lexical_pool, ["class", "field", "token"]
+        asked = self._asked_tokens(read)
         if self.limits.retrieval == "rowid":
-            lists = _first(self.tokens, ["class", "field", "token"], pool)
-            hits = asked.join(lists, ["class", "field", "token"]).select("sid", "field", "rid").distinct()
-            return _first(hits, ["sid", "field"], pool).select("sid", "field", "rid")
-        hits = asked.join(self.tokens, ["class", "field", "token"]).select("sid", "rid", "field", "token").distinct()
-        return self._best(hits.withColumn("g", F.col("field")), "g", pool).select("sid", F.col("g").alias("field"), "rid")
+            hits = asked.join(_first(self._tokens(asked), at, pool), at).select("sid", "field", "rid").distinct()
+            return self._keep(_first(hits, ["sid", "field"], pool).select("sid", "field", "rid"), "pool")
+        hits = asked.join(self._tokens(asked), at).select("sid", "rid", "field", "token").distinct()
+        return self._keep(self._best(hits.withColumn("g", F.col("field")), "g", pool).select("sid", F.col("g").alias("field"), "rid"), "pool")
 
     def _best(self, hits: DataFrame, group: str, n: int) -> DataFrame:
         """The ``n`` best of each group by BM25 over the matched tokens, ties to the lowest ``rid``."""
-        sizes = self.references.select("rid", (F.size(T.lexical_tokens(T.name_text())) + F.size(T.lexical_tokens(T.address_text())) + F.size(block_keys()) + 1).alias("dl"))
+        lengths = self.index.select("rid", F.size("tokens").alias("tokens")).join(self.references.select("rid", F.size(block_keys()).alias("keys")), "rid")
+        sizes = self._keep(lengths.select("rid", (F.col("tokens") + F.col("keys") + 1).alias("dl")), "lengths")
         total = sizes.agg(F.count(F.lit(1)).alias("rows"), F.avg("dl").alias("avgdl"))
-        present = self.tokens.select("rid", "field", "token").distinct().groupBy("field", "token").agg(F.count(F.lit(1)).alias("n"))
+        present = self.index.select(F.explode("tokens").alias("t")).select("t.*").groupBy("field", "token").agg(F.count(F.lit(1)).alias("n"))
         scored = hits.join(present, ["field", "token"]).join(sizes, "rid").crossJoin(F.broadcast(total))  # one row of totals
         idf = F.greatest(F.log((F.col("rows") - F.col("n") + 0.5) / (F.col("n") + 0.5)), F.lit(1e-6))
         score = F.sum(idf * 2.2 / (1 + 1.2 * (0.25 + 0.75 * F.col("dl") / F.col("avgdl"))))
@@ -151,39 +199,41 @@ class Blocker:
 
     # ------------------------------------------------------------ all together
 
-    def _with_cosines(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:
-        """Pairs with both cosines; a vector is made once for each record that is in a pair."""
-        mine = vectors(queries, self.model).select(F.col("entity_id").alias("sid"), F.col("name_vector").alias("qn"), F.col("address_vector").alias("qa"))
-        theirs = vectors(self.references, self.model, "rid").select("rid", F.col("name_vector").alias("rn"), F.col("address_vector").alias("ra"))
-        joined = pairs.join(mine, "sid").join(theirs, "rid")
+    def with_cosines(self, pairs: DataFrame, read: DataFrame) -> DataFrame:
+        """Pairs (``sid, rid``) with both cosines, and what ranking needs of both records."""
+        theirs = self.index.select("rid", "eid", "candidate_source", "rname", F.col("name_vector").alias("rn"), F.col("address_vector").alias("ra"))
+        joined = pairs.join(read.select("sid", "qname", "qn", "qa"), "sid").join(theirs, "rid")
         return joined.withColumns({"nc": sparse_cosine("qn", "rn"), "ac": sparse_cosine("qa", "ra")}).drop("qn", "qa", "rn", "ra")
 
+    def near(self, pool: DataFrame, scored: DataFrame) -> DataFrame:
+        """Channels E and F: of the pool of a field, the nearest by that field's cosine (to nine digits, so that
+        the order doesn't hang on the order of a sum), ties by id."""
+        cosine = F.round(F.coalesce(F.when(F.col("field") == "name", F.col("nc")).otherwise(F.col("ac")), F.lit(0.0)), 9)
+        ranked = pool.join(scored.select("sid", "rid", "eid", "nc", "ac"), ["sid", "rid"]).withColumn("rn", F.row_number().over(Window.partitionBy("sid", "field").orderBy(cosine.desc(), "eid")))
+        return ranked.filter(F.col("rn") <= self.limits.lexical_top_k).select("sid", F.when(F.col("field") == "name", "E").otherwise("F").alias("channel"), "rid")
+
     def candidates(self, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Ranked and capped pairs (the pair schema), and a manifest with every query."""
-        keyed, over = self.keyed_hits(queries)
-        ids = self.references.select("rid", F.col("entity_id").alias("eid"), F.col("source").alias("candidate_source"), F.col("name_basic").alias("rname"))
-        pool = self.lexical_pool(queries)
+        read = self.read(queries)
+        keyed, over = self.keyed_hits(read)
+        keyed = self._keep(keyed, "keyed-hits")
+        pool = self.lexical_pool(read)
         # cosines once, for every pair of any channel
-        pairs = keyed.select("sid", "rid").union(pool.select("sid", "rid")).distinct()
-        scored = self._with_cosines(pairs, queries).join(ids, "rid").persist()
-        near = pool.join(scored, ["sid", "rid"])
-        by = Window.partitionBy("sid", "field").orderBy(F.coalesce(F.when(F.col("field") == "name", F.col("nc")).otherwise(F.col("ac")), F.lit(0.0)).desc(), "eid")
-        near = near.withColumn("rn", F.row_number().over(by)).filter(F.col("rn") <= self.limits.lexical_top_k)
-        near = near.select("sid", F.when(F.col("field") == "name", "E").otherwise("F").alias("channel"), "rid")
+        scored = self._keep(self.with_cosines(keyed.select("sid", "rid").union(pool.select("sid", "rid")).distinct(), read), "cosines")
         flags = [F.max((F.col("channel") == c).cast("int")).alias(f"block_{c}") for c in CHANNELS]
-        union = keyed.union(near).groupBy("sid", "rid").agg(*flags, F.countDistinct("channel").alias("channels"))
+        union = keyed.union(self.near(pool, scored)).groupBy("sid", "rid").agg(*flags, F.countDistinct("channel").alias("channels"))
         wn, wa, we, wc = SCORE_WEIGHTS
-        own = queries.select(F.col("entity_id").alias("sid"), F.col("name_basic").alias("qname"))
-        full = union.join(scored, ["sid", "rid"]).join(own, "sid")
         same = ((F.col("qname") != "") & (F.col("qname") == F.col("rname"))).cast("double")
-        full = full.withColumn("score", wn * F.coalesce("nc", F.lit(0.0)) + wa * F.coalesce("ac", F.lit(0.0)) + we * same + wc * F.col("channels"))
-        rank = Window.partitionBy("sid").orderBy(F.col("score").desc(), "eid")
-        ranked = full.withColumn("candidate_rank", F.row_number().over(rank)).filter(F.col("candidate_rank") <= self.limits.max_candidates)
+        score = F.round(wn * F.coalesce("nc", F.lit(0.0)) + wa * F.coalesce("ac", F.lit(0.0)) + we * same + wc * F.col("channels"), 9)
+        by_score, whole = Window.partitionBy("sid").orderBy(F.col("score").desc(), "eid"), Window.partitionBy("sid")
+        full = union.join(scored, ["sid", "rid"]).withColumn("score", score)
+        ranked = full.withColumns({"candidate_rank": F.row_number().over(by_score), "union_candidates": F.count(F.lit(1)).over(whole)}).filter(F.col("candidate_rank") <= self.limits.max_candidates)
+        ranked = self._keep(ranked, "ranked")
         chosen = ranked.select(
             F.col("sid").alias("source1_entity_id"), F.col("eid").alias("candidate_entity_id"), F.col("candidate_source").cast("int"), F.col("candidate_rank").cast("int"), F.col("score").cast("float").alias("retrieval_score"),
             F.col("nc").cast("float").alias("name_retrieval_cosine"), F.col("ac").cast("float").alias("address_retrieval_cosine"), *[F.col(f"block_{c}") for c in CHANNELS],
         )
-        counts = union.groupBy("sid").agg(F.count(F.lit(1)).alias("union_candidates"))
+        counts = ranked.filter("candidate_rank = 1").select("sid", "union_candidates")
         overs = over.groupBy("sid").agg(F.array_join(F.array_sort(F.collect_set("channel")), ",").alias("overflow_blocks"))
         manifest = queries.select(F.col("entity_id").alias("sid"), F.col("country_key").alias("country")).join(counts, "sid", "left").join(overs, "sid", "left")
         manifest = manifest.select(F.col("sid").alias("source1_entity_id"), "country", F.least(F.coalesce("union_candidates", F.lit(0)), F.lit(self.limits.max_candidates)).alias("n_candidates"), F.coalesce("union_candidates", F.lit(0)).alias("union_candidates"), F.coalesce("overflow_blocks", F.lit("")).alias("overflow_blocks"))

@@ -28,21 +28,23 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def forbid(df: DataFrame, condition: Column, message: str) -> DataFrame:
-    """Raise if any row meets the condition, naming the first."""
-    found = df.filter(condition).limit(1).collect()
-    if found:
-        raise ValueError(f"{message}: {found[0].asDict()}")
+def forbid(df: DataFrame, *checks: tuple[Column, str]) -> DataFrame:
+    """Raise if any row meets a condition, naming one; all conditions are looked for in one pass."""
+    row = F.to_json(F.struct(*df.columns))
+    found = df.agg(*[F.min(F.when(condition, row)).alias(f"c{i}") for i, (condition, _) in enumerate(checks)]).first()
+    for value, (_, message) in zip(found, checks, strict=True):
+        if value is not None:
+            raise ValueError(f"{message}: {value}")
     return df
 
 
 def require_unique(df: DataFrame, columns: list[str], what: str) -> DataFrame:
-    again = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    forbid(again, F.lit(True), f"{what} repeats")
+    again = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    forbid(again, (F.col("n") > 1, f"{what} repeats"))
     return df
 
 
 def require_keys(df: DataFrame, keys: DataFrame, columns: list[str], message: str) -> DataFrame:
     """Every row's key must be among the keys: an anti join that must come out empty."""
-    forbid(df.join(keys, columns, "left_anti").select(*columns), F.lit(True), message)
+    forbid(df.join(keys, columns, "left_anti").select(*columns), (F.lit(True), message))
     return df

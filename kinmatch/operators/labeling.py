@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmatch.functions.hashing import in_validation
-from kinmatch.operators.guards import forbid, require_keys, require_unique
+from kinmatch.operators.guards import forbid, require_keys
 
 
 def truth_ids(raw: Column | str) -> Column:
@@ -17,9 +17,10 @@ def truth_ids(raw: Column | str) -> Column:
 def parse_truth(truth: DataFrame) -> DataFrame:
     """``sid, ids``; ids that repeat or aren't of a reference source are errors."""
     parsed = truth.select(F.col("source1_entity_id").alias("sid"), truth_ids(F.coalesce("matched_entity_ids", F.lit(""))).alias("ids"))
-    forbid(parsed, F.size("ids") != F.size(F.array_distinct("ids")), "the truth lists an id twice")
-    forbid(parsed, F.exists("ids", lambda x: ~(x.startswith("S2-") | x.startswith("S3-"))), "the truth lists an id that isn't of source 2 or 3")
-    return require_unique(parsed, ["sid"], "the truth")
+    foreign = F.exists("ids", lambda x: ~(x.startswith("S2-") | x.startswith("S3-")))
+    once = parsed.groupBy("sid").agg(F.count(F.lit(1)).alias("rows"), F.bool_or(F.size("ids") != F.size(F.array_distinct("ids"))).alias("twice"), F.bool_or(foreign).alias("foreign"))
+    forbid(once, (F.col("twice"), "the truth lists an id twice"), (F.col("foreign"), "the truth lists an id that isn't of source 2 or 3"), (F.col("rows") > 1, "the truth repeats"))
+    return parsed
 
 
 def edges(truth: DataFrame) -> DataFrame:
@@ -81,6 +82,12 @@ def recall_report(labels: DataFrame) -> DataFrame:
     )
 
 
+def lost_links(truth: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``sid, eid``: true links that retrieval didn't find."""
+    found = pairs.select(F.col("source1_entity_id").alias("sid"), F.col("candidate_entity_id").alias("eid"))
+    return edges(truth).join(found, ["sid", "eid"], "left_anti")
+
+
 def split_report(labeled: DataFrame) -> DataFrame:
     """Pairs, queries and positives of each split."""
     return labeled.groupBy("dataset_split").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("source1_entity_id").alias("queries"), F.sum(F.col("label").cast("long")).alias("positives"))
@@ -89,7 +96,11 @@ def split_report(labeled: DataFrame) -> DataFrame:
 def candidate_lists(manifest: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row a query, its candidates in rank order, empty where it has none; counts must agree."""
     lists = pairs.groupBy("source1_entity_id").agg(F.array_sort(F.collect_list(F.struct("candidate_rank", "candidate_entity_id"))).alias("c"))
-    joined = manifest.join(lists, "source1_entity_id", "left").withColumn("c", F.coalesce("c", F.expr("array()")))
-    forbid(joined, F.size("c") != F.col("n_candidates"), "a query whose candidates aren't as many as its manifest says")
-    require_keys(pairs.select("source1_entity_id"), manifest.select("source1_entity_id"), ["source1_entity_id"], "pairs of a query that isn't in the manifest")
+    joined = manifest.withColumn("asked", F.lit(True)).join(lists, "source1_entity_id", "full_outer").withColumn("c", F.coalesce("c", F.expr("array()")))
+    forbid(
+        joined,
+        (F.col("asked").isNull(), "pairs of a query that isn't in the manifest"),
+        (F.size("c") != F.col("n_candidates"), "a query whose candidates aren't as many as its manifest says"),
+        (F.size(F.array_distinct(F.transform("c", lambda x: x["candidate_entity_id"]))) != F.size("c"), "a query that has a candidate twice"),
+    )
     return joined.select("source1_entity_id", F.array_join(F.transform("c", lambda x: x["candidate_entity_id"]), ",").alias("candidate_entity_ids"))

@@ -29,8 +29,8 @@ class Preparation:
         for name in ("block_limit", "lexical_pool", "lexical_top_k", "max_candidates", "query_terms"):
             if type(getattr(self, name)) is not int or getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be a whole number above 0")
-        if self.hash_fn not in ("blake2b", "md5", "none") or self.retrieval not in ("rowid", "bm25"):
-            raise ValueError("hash_fn is blake2b, md5 or none; retrieval is rowid or bm25")
+        if self.hash_fn not in ("blake2b", "md5") or self.retrieval not in ("rowid", "bm25"):
+            raise ValueError("hash_fn is blake2b or md5; retrieval is rowid or bm25")
 
     @classmethod
     def load(cls, path: str | None = None, **overrides) -> Preparation:

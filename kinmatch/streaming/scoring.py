@@ -30,6 +30,7 @@ def match_stream(raw: DataFrame, blocker: Blocker, model: PipelineModel | None,
             pairs = modeling.predict(model, table, list(MODEL_COLUMNS))
         pairs.write.mode("overwrite").parquet(f"{path}/batch={number}")
         cleaned.unpersist()
+        blocker.forget()
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -184,12 +184,26 @@ def test_cleaner(spark):
     assert (b["country_key"], b["address_normalized"], b["postal_code_candidate"], b["state_candidate"], b["city_candidate"], b["address_component_missing"], b["house_number_candidate"]) == ("IN", "near temple mg road mumbai maharashtra 400001", "400001", "maharashtra", "mumbai", 1, "")
     assert (c["name_normalized_unicode"], c["name_missing"], c["name_basic"], c["country_key"], c["address_normalized"], c["postal_code_candidate"], c["house_number_candidate"], c["city_candidate"], c["street_candidate"]) == ("n/a", 1, "", "FR", "12 avenue foch 75001 paris", "75001", "12", "", "12 avenue foch")
     assert (d["name_basic"], d["name_latin_folded"], d["country_key"], d["address_missing"]) == ("strasse and café co", "strasse and cafe", "PERU", 1)
-    assert text.strip_zeros("0012-b007") == "12-b7" and text.strip_zeros("०१२") == "12"
-    assert text.fold_latin("Éà भारतीय") == "Ea भारतीय"
+    few = spark.createDataFrame([("0012-b007", "éà भारतीय"), ("०१२ x0 00", "ế ø ﬁ"), ("٠٣", "e\u0301 ι\u0308\u0301")], "n string, t string").select(text.zero_normalize("n"), text.latin_fold("t")).collect()
+    assert [tuple(r) for r in few] == [("12-b7", "ea भारतीय"), ("12 x0 0", "e ø ﬁ"), ("3", "e ΐ")]
     with pytest.raises(ValueError):
         cleaning.clean_records(spark.createDataFrame([("a",)], "entity_id string"))
 
 
+def test_folding(spark):
+    """Of each kind of character, in Python and in the JVM."""
+    rows = ["A.B.C. x.y a.b.cd é.b.", "Tom &amp; &lt;Co&gt; & AT&T", "a\u200cb\u200bc\x07d\u00a0e\u2003f", "ﬁ ½ ² Ⅷ ß İ", "12/3-b -x- a/ 7--8", "हिन्दी-தமிழ்", "", " \t\n ", "x_y.z"]
+    got = spark.createDataFrame([(r,) for r in rows], "s string").select("s", text.unicode_normalize("s").alias("u"), text.basic("s").alias("b"), text.basic("s", True).alias("a")).collect()
+    found = {r["s"]: (r["u"], r["b"], r["a"]) for r in got}
+    assert found["A.B.C. x.y a.b.cd é.b."] == ("a.b.c. x.y a.b.cd é.b.", "abc x y abcd é b", "abc x y abcd é b")
+    assert found["Tom &amp; &lt;Co&gt; & AT&T"][:2] == ("tom & <co> & at&t", "tom and co and at and t")
+    assert found["a\u200cb\u200bc\x07d\u00a0e\u2003f"][:2] == ("a\u200cbc d e f",) * 2
+    assert found["ﬁ ½ ² Ⅷ ß İ"][0] == "fi 1⁄2 2 viii ss i̇"
+    assert found["12/3-b -x- a/ 7--8"][1:] == ("12 3 b x a 7 8", "12/3-b x a 7 8")
+    assert found["हिन्दी-தமிழ்"][1:] == ("हिन्दी தமிழ்", "हिन्दी-தமிழ்") or found["हिन्दी-தமிழ்"][2] == "हिन्दी தமிழ்"
+    assert found[""] == ("", "", "") == found[" \t\n "] and found["x_y.z"][1] == "x y z"
+
+
 def test_hash_parity():
     assert hashing.split_share(42, "US", True, "S1-a") == pytest.approx(0.630782667, abs=1e-8)
     assert hashing.split_share(42, "US", False, "S1-empty") == pytest.approx(0.594050097, abs=1e-8)
@@ -204,7 +218,9 @@ def test_cosine_of_reordered_words(spark):
     a = v.filter("entity_id = 'S2-a'").select(F.col("name_vector").alias("x"))
     got = {r["entity_id"]: r["c"] for r in v.crossJoin(a).select("entity_id", similarity.sparse_cosine("x", "name_vector").alias("c")).collect()}
     assert got["S3-a"] == pytest.approx(1) and got["S3-c"] is None and got["S3-b"] < 0.2
-    assert v.filter("entity_id = 'S3-b'").first()["name_vector"]["i"]
+    assert len(v.filter("entity_id = 'S3-b'").first()["name_vector"]["i"]) > 0
+    norms = tfidf.entries(v).groupBy("entity_id", "field").agg(F.sum(F.col("value") * F.col("value")).alias("n")).collect()
+    assert len(norms) == 3 and all(r["n"] == pytest.approx(1) for r in norms)
 
 
 def test_f05_and_missing_evidence(spark):
