@@ -101,9 +101,9 @@ class Blocker:
         self._tables.append(staged(df, name))
         return self._tables[-1]
 
-    def forget(self) -> None:
-        """Remove the tables that queries have left; those of the references stay."""
-        kept = [self.__dict__.get(x) for x in ("keys", "index")]
+    def forget(self, everything: bool = False) -> None:
+        """Remove the tables that queries have left; those of the references stay if more queries come."""
+        kept = [] if everything else [self.__dict__.get(x) for x in ("keys", "index")]
         for table in self._tables:
             if not any(table is x for x in kept):
                 discard(table)

@@ -25,14 +25,14 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(f"--{f.replace('_', '-')}", type=kind)
         return p
 
-    command("clean", "input", "output")
+    command("clean", "input", "output").add_argument("--tsv", action="store_true")
     command("sample", "input", "output", per_country=int, distractors=int, seed=int)
     command("prepare", "cleaned", "work", split=str, config=str, truth=str, train_work=str, max_queries=int, stage=str)
     command("train", "work", "model", config=str)
     command("predict", "work", "model")
     p = command("evaluate", "work", "probabilities")
     p.add_argument("--thresholds", type=float, nargs="*", default=list(evaluation.DEFAULT_THRESHOLDS))
-    command("submit", "work", "probabilities", "output", threshold=float)
+    command("submit", "work", "probabilities", "output", threshold=float, model=str)
     command("baseline", "input", "output", config=str, training_config=str)
     return top
 
@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("kinmatch").getOrCreate()
     if args.command == "clean":
-        return pipeline.clean(spark, readers.Inputs(args.input, f"{args.output}/staging"), args.output)
+        return pipeline.clean(spark, readers.Inputs(args.input, f"{args.output}/staging"), args.output, tsv=args.tsv)
     if args.command == "sample":
         given = {k: v for k, v in (("per_country", args.per_country), ("distractors", args.distractors), ("seed", args.seed)) if v is not None}
         return pipeline.sample(spark, readers.Inputs(args.input, f"{args.output}.staging"), args.output, **given)
@@ -65,6 +65,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         sinks.write_json(found, f"{args.work}/validation_f05.json")
         print(json.dumps(found["best"]))
         return found
-    if args.threshold is None:
-        raise SystemExit("submit needs --threshold")
-    return pipeline.submit(work, scores, args.threshold, args.output)
+    if args.threshold is None and args.model is None:
+        raise SystemExit("submit needs --threshold, or --model for the one that was chosen")
+    threshold = pipeline.load_model(spark, work, args.model)[1]["decision_threshold"] if args.threshold is None else args.threshold
+    return pipeline.submit(work, scores, threshold, args.output)

@@ -7,12 +7,15 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinmatch.functions.constants import RAW_COLUMNS, TRUTH_COLUMNS
 
 SOURCE_FILE = re.compile(r"(?:.*/)?(train|test)_source([123])\.tsv(?:\.gz)?$")
 TRUTH_FILE = "train_ground_truth.tsv"
+#: What a sample takes along of other files: code, templates and notes.
+EXTRA_SUFFIXES = (".py", ".csv", ".md", ".txt")
 
 
 def strings(columns) -> T.StructType:
@@ -23,13 +26,18 @@ def read_tsv(spark: SparkSession, path: str | list[str], columns=None) -> DataFr
     """A tab-separated file: quotes and line ends in fields honoured, a byte order mark dropped, rows
     that are too short or too long refused, empty fields as empty strings.
 
-    Without ``columns`` the header names them. A gzip file is one task: it is dealt out afterwards.
+    Without ``columns`` the header names them. A gzip file, or one with line ends in fields, is one task:
+    its rows are dealt out afterwards.
     """
     paths = [path] if isinstance(path, str) else path
-    options = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST", "enforceSchema": False}
+    packed = any(p.endswith(".gz") for p in paths)
+    # a line with an odd number of quotes begins or ends a field of several lines; without one, files can be split
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    whole = packed or bool(spark.read.text(paths).filter(quotes % 2 == 1).take(1))
+    options = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": whole, "mode": "FAILFAST", "enforceSchema": False}
     names = columns or header_of(spark, paths[0])
     frame = spark.read.schema(strings(names)).options(**options).csv(paths)
-    return (frame.repartition(spark.sparkContext.defaultParallelism) if any(p.endswith(".gz") for p in paths) else frame).fillna("")
+    return (frame.repartition(spark.sparkContext.defaultParallelism) if whole else frame).fillna("")
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -75,7 +83,7 @@ class Inputs:
 
     @staticmethod
     def _wanted(name: str) -> bool:
-        return bool(SOURCE_FILE.match(name)) or name.endswith((".tsv", ".tsv.gz", ".py", ".csv", ".md"))
+        return bool(SOURCE_FILE.match(name)) or name.endswith((".tsv", ".tsv.gz", *EXTRA_SUFFIXES))
 
     def _add(self, name: str, path: str) -> bool:
         if (SOURCE_FILE.match(name) or name == TRUTH_FILE) and name in self.files:
@@ -101,6 +109,9 @@ class Inputs:
             raise ValueError(f"expected one file {TRUTH_FILE}")
         return self.files[TRUTH_FILE]
 
+    def extras(self) -> dict[str, str]:
+        return {n: p for n, p in self.files.items() if n.endswith(EXTRA_SUFFIXES)}
+
     def sizes(self) -> dict[str, int]:
         return {n: Path(p).stat().st_size for n, p in self.files.items()}
 

@@ -1,7 +1,9 @@
 """The engine end to end on a small linkage fixture, with expected values, and operators by hand-made cases."""
 
 import gzip
+import json
 import math
+import shutil
 import zipfile
 from pathlib import Path
 
@@ -60,8 +62,22 @@ def test_linkage(spark, tmp_path, retrieval):
     for bad in (scores.limit(0), scores.union(scores), scores.withColumn("match_probability", F.lit(1.5))):
         with pytest.raises(ValueError):
             evaluation.evaluate(labels, work.table("pair_features"), bad, [0.5])
-    with pytest.raises(ValueError):  # other settings in the same folder
-        pipeline.prepare(spark, linkage(spark), str(tmp_path / "w"), Preparation())
+    made = {p.name for p in (tmp_path / "w").iterdir()}
+    assert {"train_features.parquet", "validation_features.parquet", "tables_report.json", "query_labels.tsv.gz"} <= made
+    assert len(gzip.open(tmp_path / "w" / "query_labels.tsv.gz", "rt").read().splitlines()) == 4
+    other = linkage(spark) | {3: frame(spark, [record("S3-a", "abc motors", "106 elm street")])}
+    for tables, settings in ((linkage(spark), Preparation()), (other, config)):  # other settings, other inputs
+        with pytest.raises(ValueError, match="other settings"):
+            pipeline.prepare(spark, tables, str(tmp_path / "w"), settings, truth=linkage_truth(spark))
+    if retrieval == "bm25":
+        return
+    assert pipeline.prepare(spark, linkage(spark), str(tmp_path / "w"), config, truth=linkage_truth(spark)).manifest == work.manifest  # nothing runs again
+    part = pipeline.prepare(spark, linkage(spark), str(tmp_path / "part"), config, truth=linkage_truth(spark), max_queries=1, stages=("index", "block"))
+    with pytest.raises(ValueError, match="every query"):
+        pipeline.submit(part, scores, 0.5, str(tmp_path / "none.tsv"))
+    with pytest.raises(ValueError, match="are gone"):
+        shutil.rmtree(tmp_path / "part" / "queries.parquet")
+        pipeline.prepare(spark, linkage(spark), str(tmp_path / "part"), config, truth=linkage_truth(spark), max_queries=1, stages=("index", "block"))
     assert pipeline.submit(work, scores, 0.5, str(tmp_path / "out.tsv")) == 3
     assert (tmp_path / "out.tsv").read_text().splitlines()[1] == "S1-a\tS2-a,S3-a"
 
@@ -269,7 +285,10 @@ def test_model(spark, tmp_path):
     labels = [(f"S1-{i:03d}", "US", "validation", f"S2-{i:03d}") for i in range(60, 72)] + [("S1-singleton", "US", "validation", ""), ("S1-missed", "FR", "validation", "S2-gone")]
     found = evaluation.evaluate(spark.createDataFrame(labels, "source1_entity_id string, country string, dataset_split string, matched_entity_ids string"), validation, scores)
     assert found["queries"] == 14 and found["best"]["macro_f05"] == pytest.approx(13 / 14) and found["best"]["by_country"]["FR"] == 0
-    assert modeling.importance(model)[0][0] == "name_exact"
+    assert modeling.importance(model)[0][0] == "name_exact" and modeling.importance(model)[0][2] >= 1
+    curve = modeling.learning_curve(model, modeling.training_rows(validation, names, 10, 43, "validation"))
+    assert len(curve) == model.stages[1].getNumTrees and curve == sorted(curve, reverse=True)
+    assert modeling.summary(train, 80) == {"available_pairs": 120, "selected_pairs": 80, "available_positive_pairs": 60, "available_negative_pairs": 60, "sampled": True}
     assert modeling.predict(model, table.limit(0), names).count() == 0
     for bad in (lambda: modeling.predict(model, validation, names[::-1]), lambda: modeling.train(table, validation, names, config), lambda: modeling.check_features(table, ["label"]), lambda: modeling.Training(max_train_pairs=0), lambda: modeling.Training.load(None, nonsense=1)):
         with pytest.raises(ValueError):
@@ -313,10 +332,31 @@ def raw_folder(root: Path):
     (root / "train_ground_truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\t{f'S2-{i},S3-{i}' if i % 5 else ''}\n" for i in range(40)))
 
 
+def check_model_identity(spark, out):
+    """A model's folder says what it is of; anything else is refused."""
+    metadata = json.loads((out / "model" / "model_metadata.json").read_text())
+    assert metadata["status"] == "complete" and metadata["train_rows"]["selected_pairs"] > 0 and metadata["trees"] == 3
+    assert (out / "model" / "feature_importance.tsv").read_text().startswith("feature\tgain\tsplits\n")
+    assert len(json.loads((out / "model" / "learning_curve.json").read_text())["validation_log_loss"]) == 3
+    beside = json.loads((out / "test" / "probabilities.metadata.json").read_text())
+    assert beside["model_sha256"] == metadata["model_sha256"] and beside["threshold"] == metadata["decision_threshold"]
+    first, settings = pipeline.Work(spark, str(out / "train")), modeling.Training(num_boost_round=3, max_depth=2)
+    assert pipeline.train(first, str(out / "model"), settings) == metadata  # complete: read, not fitted
+    with pytest.raises(ValueError, match="new model folder"):
+        pipeline.train(first, str(out / "model"), modeling.Training(num_boost_round=4, max_depth=2))
+    for change, message in (({"status": "running"}, "complete"), ({"model_sha256": "0"}, "trees"), ({"features": metadata["features"][::-1]}, "order"), ({"signature": metadata["signature"] | {"tfidf": {}}}, "TF-IDF")):
+        (out / "other").mkdir(exist_ok=True)
+        (out / "other" / "model_metadata.json").write_text(json.dumps(metadata | change))
+        shutil.copytree(out / "model" / "trees", out / "other" / "trees", dirs_exist_ok=True)
+        with pytest.raises(ValueError, match=message):
+            pipeline.load_model(spark, first, str(out / "other"))
+
+
 def test_baseline_sample_and_cli(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     raw_folder(raw)
+    (raw / "validator.py").write_text("pass")
     sinks.zip_files({f"data/{p.name}": str(p) for p in raw.iterdir()}, str(tmp_path / "raw.zip"))
     with pytest.raises(FileExistsError):
         sinks.zip_files({}, str(tmp_path / "raw.zip"))
@@ -325,10 +365,15 @@ def test_baseline_sample_and_cli(spark, tmp_path):
     found = pipeline.baseline(spark, str(tmp_path / "raw.zip"), str(tmp_path / "out"), Preparation(hash_bits=12, hash_fn="md5"), modeling.Training(num_boost_round=3, max_depth=2))
     assert found["queries"] == 40 and 0 <= found["best"]["macro_f05"] <= 1
     assert len((tmp_path / "out" / "matching_results.tsv").read_text().splitlines()) == 41
+    assert (tmp_path / "out" / "cleaned" / "train_ground_truth.tsv").read_bytes() == (raw / "train_ground_truth.tsv").read_bytes()
+    check_model_identity(spark, tmp_path / "out")
     summary = cli.main(["sample", "--input", str(raw), "--output", str(tmp_path / "s.zip"), "--per-country", "10", "--distractors", "3"], spark)
     assert summary["train_source1.tsv"] == 10 and 3 <= summary["train_source2.tsv"] <= 13
     with zipfile.ZipFile(tmp_path / "s.zip") as z:
-        assert "train_ground_truth.tsv" in z.namelist()
+        assert {"dataset/train/train_ground_truth.tsv", "dataset/test/test_source3.tsv", "utils/validator.py", "SAMPLE_README.txt"} <= set(z.namelist())
+        said = json.loads(z.read("sample_summary.json"))["full_dataset"]
+        assert said["train_source2.tsv"]["rows"] == 40 and said["train_source2.tsv"]["country_counts"] == {"US": 40} and said["train_source2.tsv"]["bytes"] == (raw / "train_source2.tsv").stat().st_size
+        assert said["train_ground_truth.tsv"]["matches_per_entity_histogram"] == {"0": 8, "2": 32}
     evaluated = cli.main(["evaluate", "--work", str(tmp_path / "out" / "train"), "--probabilities", str(tmp_path / "out" / "train" / "validation_probabilities.parquet"), "--thresholds", "0.5"], spark)
     assert evaluated["best"]["threshold"] == 0.5
     with pytest.raises(ValueError):
