@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import byte_views, drop_table, get_file, mix64, open_fs, put_file, runs, shared_dir, sliding_min, write_table
+from kinmatch.llm.common import byte_views, drop_table, get_file, mix64, open_fs, put_file, runs, shared_dir, sliding_min, stretches, write_table
 
 DEPTH = 50
 TRIGGER = 20
@@ -148,14 +148,6 @@ class Parse:
         return self.text[stretches(self.first[phrases], self.last[phrases] - self.first[phrases] + DEPTH)]
 
 
-def stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """``starts[0], starts[0] + 1, .. `` for each start and length, in one array."""
-    if not len(starts):
-        return np.zeros(0, np.int64)
-    begin = np.cumsum(lengths) - lengths
-    return np.arange(int(lengths.sum())) + np.repeat(starts - begin, lengths)
-
-
 def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     """Documents by blocks of about ``block_bytes``: ``block, ids, lengths, valid, text, size``."""
 

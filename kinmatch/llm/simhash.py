@@ -9,12 +9,17 @@ its own value of a part, and as probes the values within the threshold; rows tha
 meet in one bucket, where each pair of a probe and an own value is verified on all bits.
 
 Buckets report a spanning forest of what they found, not pairs, so a large group of near copies
-costs links in proportion to its members. Equal fingerprints are one node from the start.
+costs links in proportion to its members. Equal fingerprints are one node from the start. A bucket of
+very many rows is dealt to many tasks in tiles: its rows by its own values.
 
 Where a similarity is asked for, nodes are sets of distinct shingles, the forest is a minimum one by
 differing bits, made of pairs that were found, and each of its links is held to the two sets. Where
-links fail, the buckets are read again, and every found pair whose ends good links don't join yet is
-held to the sets as well; so groups are those of all found pairs, whatever the order by bits.
+links fail, they may stand for pairs that the forest left out. So the nodes that found pairs connect,
+a family, are compared set by set wherever good links don't join them yet: in cells of two tiles of a
+family, which count common shingles by an index of the cell and report a spanning forest, not pairs.
+Only a family that is both larger than a tile and thinly connected has its found pairs listed instead:
+fewer than one in ``CELL`` of all that it could have. So groups are those of all found pairs, whatever
+the order by bits.
 
 Defined results: a null text, or one without words, has fingerprint zero and is linked like any
 other; fewer words than a shingle's are one shingle; a null id takes part but is never the smallest
@@ -33,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import ASCII_LOWER, byte_views, drop_table, mix64, runs, spread_join, whole_runs, write_table
+from kinmatch.llm.common import ASCII_LOWER, byte_views, drop_table, fresh_name, mix64, runs, slices, spread_join, stretches, whole_runs, write_table
 from kinmatch.llm.components import components, forest, forest_of_batches, spanning
 
 BITS = 64
@@ -42,6 +47,10 @@ _BIT_TABLE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bito
 ROW_COST = 100
 #: The longest bucket that is compared by shifting whole columns against themselves.
 SHORT = 24
+#: Rows of a bucket from which it is dealt in tiles, as one row in ``HOT_SAMPLE`` tells.
+BUCKET_ROWS, HOT_SAMPLE = 1 << 17, 64
+#: Nodes, and shingles, that a tile of a family has at most, as expected.
+CELL, CELL_SHINGLES = 1024, 4_000_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -84,7 +93,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     names = ["id", *(f"f{i}" for i in range(lanes)), "size", *(["node"] if sets else [])]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2048):
             found: list[list[int]] = [[] for _ in range(lanes)]
             sizes, nodes = [], []
             for text in byte_views(batch.column(1)):
@@ -112,7 +121,7 @@ def shingle_sets(docs: DataFrame, *, text_col: str, width: int) -> DataFrame:
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [np.unique(shingle_hashes(text.translate(ASCII_LOWER).split(), width)) for text in byte_views(batch.column(0))]
             shingles = pa.array([np.unique(h.astype(np.uint32)).view(np.int32) for h in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([_signed([xxhash.xxh64_intdigest(h.tobytes()) for h in found]), shingles], names=["node", "shingles"])
@@ -229,19 +238,41 @@ def signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int
     return prints.select(*names[2:]).mapInArrow(write, f"key long, own boolean, {kinds}, size int" + ", node long" * sets + ", root long" * groups)
 
 
+def dealt_signatures(prints: DataFrame, parts: list[tuple[list[int], int]], lanes: int, sets: bool = False, groups: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Signatures by bucket, sorted; those of very large buckets by pairs of tiles, in which a row meets the
+    own values of the other tile. Only how rows are dealt hangs on the sample, not which of them meet."""
+    rows = signatures(prints, parts, lanes, sets, groups)
+    sampled = signatures(prints.filter(F.pmod(F.xxhash64("f0"), F.lit(HOT_SAMPLE)) == 0), parts, lanes, sets, groups)
+    tiles = F.ceil(F.count(F.lit(1)) * HOT_SAMPLE / bucket_rows).cast("int")
+    hot = write_table(sampled.groupBy("key").agg(tiles.alias("tiles")).filter("tiles > 1"), "hot-buckets")
+    n = hot.count()
+    if n:
+        few = F.broadcast(hot) if n <= 1_000_000 else hot.hint("merge")
+        warm = rows.join(few, "key").withColumn("tile", F.pmod(F.xxhash64("f0"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        cell = lambda of, by: F.xxhash64("key", of, by)
+        probing = warm.withColumns({"key": cell("tile", "other"), "own": F.lit(False)})
+        met = warm.filter("own").withColumn("key", cell("other", "tile"))
+        rows = rows.join(few.select("key"), "key", "left_anti").unionByName(probing.unionByName(met).drop("tiles", "tile", "other"))
+    return rows.repartition("key").sortWithinPartitions("key")
+
+
 def _near(x: list[np.ndarray], y: list[np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Which differ in at most ``limit`` bits of all lanes, and in how many."""
     bits = sum(np.bitwise_count(a ^ b) for a, b in zip(x, y, strict=True))
     return bits <= limit, bits
 
 
-def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False, groups: bool = False):
+def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False, groups: bool = False, count: bool = False):
     """Links inside buckets: rows sorted by key come in, a forest of links goes out; with ``sets`` a
-    minimum one, with the bits that differ; with ``groups`` all links between rows of two roots."""
+    minimum one, with the bits that differ; with ``groups`` all links between rows of two roots, or with
+    ``count`` only how many each row has."""
 
     def reduce(a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
         if groups:
             low, first = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0, return_index=True)
+            if count:
+                ends, links = np.unique(low[:, 0], return_counts=True)
+                return ends, links, links
             return low[:, 0], low[:, 1], bits[first].astype(np.int64)
         return spanning(a, b, bits) if sets else forest(a, b)
 
@@ -307,20 +338,102 @@ def _bucket_links(limit: int, size_ratio: float, lanes: int, sets: bool = False,
     return links if groups else lambda batches: forest_of_batches(links(batches), spanning if sets else forest)
 
 
-def similar_links(links: DataFrame, docs: DataFrame, holders: DataFrame, similarity: float, *, id_col: str, text_col: str, width: int) -> DataFrame:
-    """The ``links`` (``a, b``) whose sets of shingles have at least this Jaccard similarity.
-
-    ``holders`` (``node, least``) says which document has a node's text. Texts of linked nodes alone are
-    fetched, and sets move once for a link; a node of many links is dealt to many tasks.
-    """
+def linked_sets(links: DataFrame, docs: DataFrame, holders: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
+    """``node, shingles`` of all ends of links. ``holders`` (``node, least``) says which document has a
+    node's text; texts of linked nodes alone are fetched."""
+    key, body = fresh_name(docs, "key"), fresh_name(docs, "body")
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    asked = holders.join(ends.hint("merge"), "node").select(id_key("least").alias("__key")).distinct()
-    texts = docs.select(id_key(id_col).alias("__key"), F.col(text_col).alias("__body")).join(asked.hint("merge"), "__key", "left_semi")
-    sets = write_table(shingle_sets(texts, text_col="__body", width=width).dropDuplicates(["node"]), "shingle-sets")
+    asked = holders.join(ends.hint("merge"), "node").select(id_key("least").alias(key)).distinct()
+    texts = docs.select(id_key(id_col).alias(key), F.col(text_col).alias(body)).join(asked.hint("merge"), key, "left_semi")
+    return write_table(shingle_sets(texts, text_col=body, width=width).dropDuplicates(["node"]), "shingle-sets")
+
+
+def similar_links(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The ``links`` (``a, b``) whose sets of shingles have at least this Jaccard similarity. Sets move once
+    for a link; a node of many links is dealt to many tasks."""
     pairs = spread_join(links.select("a", "b"), sets.toDF("a", "mine"), "a", "inner")
-    pairs = spread_join(write_table(pairs, "half-pairs"), sets.toDF("b", "theirs"), "b", "inner")
+    half = write_table(pairs, "half-pairs")
+    whole = spread_join(half, sets.toDF("b", "theirs"), "b", "inner")
     common = F.size(F.array_intersect("mine", "theirs"))
-    return pairs.filter(common >= similarity * (F.size("mine") + F.size("theirs") - common)).select("a", "b")
+    found = write_table(whole.filter(common >= similarity * (F.size("mine") + F.size("theirs") - common)).select("a", "b"), "similar-links")
+    drop_table(half)
+    return found
+
+
+# ---------------------------------------------------------------- families
+
+
+def _cell_links(similarity: float):
+    """A forest of the similar pairs of each cell: all pairs of its rows, or of rows of its two sides.
+
+    Common shingles are counted row by row, through an index of the cell's shingles."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches):
+            key, side, node, root = (table.column(i).to_numpy() for i in range(4))
+            lists = table.column(4).combine_chunks()
+            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+            begin = lists.offsets.to_numpy().astype(np.int64)
+            values, size = lists.values.to_numpy(), np.diff(begin)
+            out: list[tuple[np.ndarray, np.ndarray]] = []
+            bounds = runs(key)
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                rows = np.arange(a, b)
+                first, second = rows[side[rows] == 0], rows[side[rows] == 1]
+                inner = not len(second)
+                others = first if inner else second
+                at = stretches(begin[others], size[others])
+                shingle, owner = values[at], np.repeat(np.arange(len(others)), size[others])
+                order = np.argsort(shingle, kind="stable")
+                shingle, owner = shingle[order], owner[order]
+                for i, row in enumerate(first.tolist()):
+                    own = values[begin[row] : begin[row + 1]]
+                    low, high = np.searchsorted(shingle, own, "left"), np.searchsorted(shingle, own, "right")
+                    common = np.bincount(owner[stretches(low, high - low)], minlength=len(others))
+                    met = (common >= similarity * (size[row] + size[others] - common)) & (root[others] != root[row])
+                    if inner:
+                        met[: i + 1] = False
+                    met = others[met]
+                    if len(met):
+                        out.append((np.full(len(met), node[row]), node[met]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in forest(*(np.concatenate(c) for c in zip(*out, strict=True)))], names=["a", "b"])
+
+    return lambda batches: forest_of_batches(links(batches))
+
+
+def family_links(members: DataFrame, sets: DataFrame, similarity: float, cell: int = CELL) -> DataFrame:
+    """Similar pairs (a forest of each cell) of families: ``members`` has ``node, root, family`` and, of the
+    family, ``n`` and ``shingles_of``, its numbers of nodes and shingles."""
+    tiles = F.greatest(F.ceil(F.col("n") / cell), F.ceil(F.col("shingles_of") / CELL_SHINGLES)).cast("int")
+    dealt = members.select("node", "root", "family", tiles.alias("tiles")).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    held = dealt.join(sets.hint("merge"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    cells = held.select(F.xxhash64("family", F.least("tile", "other"), F.greatest("tile", "other")).alias("key"), (F.col("tile") > F.col("other")).cast("int").alias("side"), "node", "root", "shingles")
+    return cells.repartition("key").sortWithinPartitions("key").mapInArrow(_cell_links(similarity), "a long, b long")
+
+
+def left_out_links(links: DataFrame, good: DataFrame, sets: DataFrame, distinct: DataFrame, parts: list[tuple[list[int], int]], *, lanes: int, total: int, similarity: float, cell: int = CELL) -> DataFrame:
+    """Similar pairs of families that good links don't join, from the pairs that forests left out."""
+    family = components(links).select("node", F.col("root").alias("family"))
+    known = components(good).select("node", F.col("root").alias("known"))
+    every = distinct.join(family.hint("merge"), "node").join(known.hint("merge"), "node", "left").withColumn("root", F.coalesce("known", "node")).drop("known", "least")
+    every = write_table(every, "families")
+    sizes = every.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size").cast("long")).alias("shingles_of"), (F.min("root") != F.max("root")).alias("open")).filter("open").drop("open")
+    members = write_table(spread_join(every, sizes.select("family", F.struct("n", "shingles_of").alias("of")), "family", "inner").select("*", "of.*").drop("of"), "members")
+    drop_table(every)
+    large = members.filter(F.col("n") > cell)
+    if not large.take(1):
+        return write_table(family_links(members, sets, similarity, cell), "family-links")
+    # thinly connected ones have fewer found pairs than cells would compare
+    lane = [f"f{i}" for i in range(lanes)]
+    buckets = lambda rows, count: dealt_signatures(rows.select(*lane, "size", "node", "root"), parts, lanes, True, True).mapInArrow(_bucket_links(total, similarity, lanes, True, True, count), "a long, b long, bits long")
+    met = buckets(large, True).groupBy("a").agg(F.sum("bits").alias("pairs")).withColumnRenamed("a", "node")
+    thin = spread_join(large.select("node", "family", "n"), met, "node").groupBy("family", "n").agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs")).filter(F.col("pairs") * cell < F.col("n") * F.col("n"))
+    thin = write_table(thin.select("family", F.lit(True).alias("thin")), "thin-families")
+    parted = write_table(spread_join(members, thin, "family"), "parted")
+    listed = write_table(buckets(parted.filter("thin"), False).select("a", "b").distinct(), "other-pairs")
+    dense = write_table(family_links(parted.filter("thin IS NULL"), sets, similarity, cell), "family-links")
+    return dense.union(similar_links(listed, sets, similarity))
 
 
 def id_key(column: str):
@@ -329,7 +442,7 @@ def id_key(column: str):
 
 
 def near_duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, lanes: int = 1, total: int = 0, similarity: float = 0.0
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, lanes: int = 1, total: int = 0, similarity: float = 0.0, cell: int = CELL
 ) -> DataFrame:
     """``id, f0.., size, component_id``: the smallest id that links reach, for every row.
 
@@ -344,21 +457,13 @@ def near_duplicates(
     distinct = write_table(rows.groupBy(*lane, *(["node"] if sets else [])).agg(F.min("id").alias("least"), F.max("size").alias("size")), "distinct")
     n, share, correlation = bit_statistics(distinct)
     parts = plan(n, share, correlation, distance)
-    dealt = signatures(distinct, parts, lanes, sets)
-    dealt = dealt.repartition("key").sortWithinPartitions("key")
-    links = dealt.mapInArrow(_bucket_links(total if sets else distance, similarity, lanes, sets), "a long, b long" + ", bits long" * sets)
+    links = dealt_signatures(distinct, parts, lanes, sets).mapInArrow(_bucket_links(total if sets else distance, similarity, lanes, sets), "a long, b long" + ", bits long" * sets)
     if sets:
         links = write_table(links.select("a", "b").distinct(), "bucket-links")
-        held = lambda found: write_table(similar_links(found, docs, distinct.select("node", "least"), similarity, id_col=id_col, text_col=text_col, width=width), "similar-links")
-        good = held(links)
+        shingles = linked_sets(links, docs, distinct.select("node", "least"), id_col=id_col, text_col=text_col, width=width)
+        good = similar_links(links, shingles, similarity)
         if good.count() < links.count():
-            # a failed link may stand for pairs that the forest left out: all pairs between groups are judged
-            ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-            grouped = distinct.join(ends.hint("merge"), "node", "left_semi").join(components(good).hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-            again = signatures(grouped, parts, lanes, sets, True).repartition("key").sortWithinPartitions("key")
-            pairs = again.mapInArrow(_bucket_links(total, similarity, lanes, sets, True), "a long, b long, bits long").select("a", "b").distinct()
-            pairs = write_table(pairs.join(links.hint("merge"), ["a", "b"], "left_anti"), "other-pairs")
-            good = good.union(held(pairs))
+            good = good.union(left_out_links(links, good, shingles, distinct, parts, lanes=lanes, total=total, similarity=similarity, cell=cell))
         links = good
     found = components(links)
     named = distinct.select(F.col(node).alias("own"), "least")
@@ -386,6 +491,7 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, distance=distance, lanes=2, total=total, similarity=similarity)
     # both sides grow with the corpus, so neither is broadcast; one key deals rows for the join and
     # for the repeats, so texts are shuffled once
-    stays = write_table(found.select(id_key("component_id").alias("__key")).distinct(), "stays")
-    kept = docs.withColumn("__key", id_key(id_col)).join(stays.hint("merge"), "__key", "left_semi")
-    return kept.withColumn("__text", F.xxhash64(text_col)).dropDuplicates(["__key", "__text"]).select(*docs.columns)
+    key, text = fresh_name(docs, "key"), fresh_name(docs, "text")
+    stays = write_table(found.select(id_key("component_id").alias(key)).distinct(), "stays")
+    own = docs.withColumns({key: id_key(id_col), text: F.xxhash64(text_col)})
+    return own.join(stays.hint("merge"), key, "left_semi").dropDuplicates([key, text]).select(*docs.columns)

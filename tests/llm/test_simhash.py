@@ -133,6 +133,52 @@ def test_copies_among_texts_that_look_alike_go(spark):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
     assert want <= gone and kept == set(range(len(texts))) - gone
+    settings = {"width": 5, "distance": 13, "lanes": 2, "total": 32, "similarity": 0.8}
+    for cell in (9, 2):  # families in many cells, and so thin by the limit that their pairs are listed
+        found = simhash.near_duplicates(docs, cell=cell, **settings).collect()
+        assert {r["id"] for r in found if r["component_id"] == r["id"]} == kept
+
+
+def test_cells_find_all_similar_pairs(spark):
+    from kinmatch.llm.components import components
+
+    rng = random.Random(3)
+    sets = [sorted({rng.randrange(60) for _ in range(rng.randint(10, 50))}) for _ in range(60)]
+    sets += [s[: int(len(s) * 0.9)] for s in sets[:20]]
+    rows = [(i, i % 7 if i < 40 else i, i % 2, len(s), s) for i, s in enumerate(sets)]
+    held = spark.createDataFrame(rows, "node long, root long, family long, size int, shingles array<int>")
+    for cell in (1024, 10, 3):
+        members = held.selectExpr("node", "root", "family", "40L AS n", "1000L AS shingles_of")
+        links = simhash.family_links(members, held.select("node", "shingles"), 0.8, cell)
+        got = {r["node"]: r["root"] for r in components(links).collect()}
+        label = list(range(len(sets)))
+        for i, j in ((i, j) for j in range(len(sets)) for i in range(j) if i % 2 == j % 2 and rows[i][1] != rows[j][1]):
+            x, y = set(sets[i]), set(sets[j])
+            if len(x & y) >= 0.8 * len(x | y):
+                label = [label[i] if v == label[j] else v for v in label]
+        assert len(got) >= 20 and all((got.get(i, -1 - i) == got.get(j, -1 - j)) == (label[i] == label[j]) for i in range(len(sets)) for j in range(i))
+
+
+def test_large_buckets_in_tiles(spark, monkeypatch):
+    rng = random.Random(12)
+    centre = rng.getrandbits(64)
+    prints = [centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 9))) for _ in range(300)]
+    frame = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, 1) for p in set(prints)], "f0 long, size int")
+    parts = [(list(range(0, 32)), 1), (list(range(32, 64)), 1)]
+    links = lambda **how: simhash.dealt_signatures(frame, parts, 1, **how).mapInArrow(simhash._bucket_links(3, 0.0, 1), "a long, b long")
+    from kinmatch.llm.components import components
+
+    groups = lambda found: sorted(sorted(g) for g in _grouped({r["node"]: r["root"] for r in components(found).collect()}).values())
+    want = groups(links())
+    monkeypatch.setattr(simhash, "HOT_SAMPLE", 1)
+    assert groups(links(bucket_rows=20)) == want and len(want) >= 1 and max(map(len, want)) > 5
+
+
+def _grouped(roots):
+    out = {}
+    for node, root in roots.items():
+        out.setdefault(root, set()).add(node)
+    return out
 
 
 def test_spanning_forest_keeps_every_threshold():
