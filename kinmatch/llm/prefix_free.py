@@ -13,7 +13,17 @@ to a document is one bit for each of its strings.
 
 Three passes over blocks of documents, which are written once, compressed: triggers are counted
 first (a sorted list of 40-bit hashes a block), so that only phrases whose trigger is in two
-documents are dealt at all. False alarms of those 40 bits cost time, not correctness.
+documents are dealt at all. False alarms of those 40 bits cost time, not correctness. Phrases are
+told apart by their bytes; hashes only bring equal ones together.
+
+A phrase of very many blocks is hot (one block in ``HOT_SAMPLE`` tells which; the list is bounded by
+``HOT_PHRASES``, most frequent first). Its first document is found with partial results, and only
+the block that holds it deals the phrase; the others know that all of it starts earlier. So a group
+isn't swollen by what a third of all documents share. Whether a phrase is hot changes no result.
+
+The dealt method orders the whole corpus, by a suffix array of the parse beside the dictionary's.
+Only the dictionary's is made here: a string of 50 bytes lies inside one phrase, so the parse would
+only order strings that are equal, which nothing asks for. The README has the figures.
 
 Defined results: a null text is empty; texts under 50 bytes lose nothing; documents of equal id
 don't remove each other's bytes; a document with a null id neither loses nor removes; repeated rows
@@ -39,6 +49,8 @@ TRIGGER = 20
 BLOCK_BYTES = 2_000_000
 GROUP_BYTES = 6_000_000
 SORT_STRINGS = 500_000
+#: Blocks from which a phrase is hot, as one block in ``HOT_SAMPLE`` tells, and how many are at most.
+HOT_BLOCKS, HOT_SAMPLE, HOT_PHRASES = 1 << 14, 64, 200_000
 _POS = 22  # bits of a place in a block
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15
@@ -87,9 +99,42 @@ def phrase_names(text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nd
     return mix64(strings[0] ^ mix64(strings[1] + (last - first).astype(np.uint64)))
 
 
+def alike(text: np.ndarray, one: np.ndarray, other: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the bytes from each place of ``one`` on are those from ``other`` on."""
+    out = np.ones(len(one), bool)
+    for a in range(0, len(one), 20_000):  # some megabytes at a time
+        part = slice(a, a + 20_000)
+        n = sizes[part]
+        if len(n):
+            equal = text[stretches(one[part], n)] == text[stretches(other[part], n)]
+            out[part] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+    return out
+
+
 # ---------------------------------------------------------------- blocks
 
 
+class Hot:
+    """First documents of hot phrases, which two hashes (128 bits together) name."""
+
+    def __init__(self, trigger: np.ndarray, name: np.ndarray, first: np.ndarray):
+        order = np.lexsort((name, trigger))
+        self.trigger, self.name, self.first = trigger[order], name[order], first[order]
+
+    def at(self, trigger: np.ndarray, name: np.ndarray) -> np.ndarray:
+        """The place of each phrase among the hot ones, -1 if it is none."""
+        out = np.full(len(trigger), -1)
+        low, high = np.searchsorted(self.trigger, trigger, "left"), np.searchsorted(self.trigger, trigger, "right")
+        while len(left := np.flatnonzero((out < 0) & (low < high))):
+            out[left] = np.where(self.name[low[left]] == name[left], low[left], -1)
+            low[left] += 1
+        return out
+
+    def first_of(self, trigger: np.ndarray, name: np.ndarray) -> np.ndarray:
+        at = self.at(trigger, name)
+        return np.where(at >= 0, self.first[at] if len(self.first) else 0, np.iinfo(np.int64).max)
+
+
 class Parse:
     """The phrases of a block: where each begins and ends, its trigger, its document."""
 
@@ -138,11 +183,19 @@ class Parse:
         name = phrase_names(self.text, first, last)
         order = np.lexsort((ids[self.doc[phrases]], name, self.trigger[phrases]))
         new = np.ones(len(order), bool)
-        new[1:] = name[order[1:]] != name[order[:-1]]
+        new[1:] = (name[order[1:]] != name[order[:-1]]) | ((last - first)[order[1:]] != (last - first)[order[:-1]])
+        again = np.flatnonzero(~new)
+        new[again] = ~alike(self.text, first[order[again]], first[order[again - 1]], (last - first + DEPTH)[order[again]])
         back = np.empty(len(order), np.int64)
         back[order] = np.cumsum(new) - 1
         return phrases[order[new]], back
 
+    def cold(self, phrases: np.ndarray, ids: np.ndarray, hot: Hot | None) -> np.ndarray:
+        """Which of these phrases aren't a hot one that starts in a smaller document."""
+        if hot is None or not len(phrases):
+            return np.ones(len(phrases), bool)
+        return ids[self.doc[phrases]] <= hot.first_of(self.trigger[phrases], phrase_names(self.text, self.first[phrases], self.last[phrases]))
+
     def take(self, phrases: np.ndarray) -> np.ndarray:
         """The phrases' bytes, one after the other."""
         return self.text[stretches(self.first[phrases], self.last[phrases] - self.first[phrases] + DEPTH)]
@@ -273,7 +326,44 @@ def _which_are_shared(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block"), "grp": table.column("grp"), "answer": pa.array(answers, pa.binary())})
 
 
-def _deal_phrases(groups: int, folder: str):
+_SEEN = pa.schema([("trigger", pa.int64()), ("name", pa.int64()), ("doc", pa.int64())])
+
+
+def _phrases_of(hot=None):
+    """``trigger, name, doc`` of a block's distinct phrases, or of those that are hot alone."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            ids, _, _, parse = _open_block(row)
+            one, _ = parse.distinct(np.arange(len(parse.first)), ids)
+            trigger, name = parse.trigger[one], phrase_names(parse.text, parse.first[one], parse.last[one])
+            doc = ids[parse.doc[one]]
+            if hot is not None:
+                mine = hot.value.at(trigger, name) >= 0
+                trigger, name, doc = trigger[mine], name[mine], doc[mine]
+            yield pa.RecordBatch.from_arrays([pa.array(trigger.view(np.int64)), pa.array(name.view(np.int64)), pa.array(doc)], schema=_SEEN)
+
+    return find
+
+
+def hot_phrases(stored: DataFrame, hot_blocks: int = HOT_BLOCKS):
+    """The hot phrases as a broadcast, None if there are none."""
+    kinds = "trigger long, name long, doc long"
+    sample = stored.filter(F.pmod(F.xxhash64("block"), F.lit(HOT_SAMPLE)) == 0)
+    n = F.count(F.lit(1))
+    found = sample.mapInArrow(_phrases_of(), kinds).groupBy("trigger", "name").agg(n.alias("n")).filter(F.col("n") * HOT_SAMPLE > hot_blocks)
+    named = found.orderBy(F.col("n").desc(), "trigger", "name").limit(HOT_PHRASES).select("trigger", "name").toArrow()
+    if not named.num_rows:
+        return None
+    context = stored.sparkSession.sparkContext
+    columns = lambda t: [t.column(c).to_numpy().view(np.uint64) for c in ("trigger", "name")]
+    listed = context.broadcast(Hot(*columns(named), np.zeros(named.num_rows, np.int64)))
+    first = stored.mapInArrow(_phrases_of(listed), kinds).groupBy("trigger", "name").agg(F.min("doc").alias("doc")).toArrow()
+    listed.unpersist()
+    return context.broadcast(Hot(*columns(first), first.column("doc").to_numpy()))
+
+
+def _deal_phrases(groups: int, folder: str, hot=None):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers = _Answers(folder)
         for row in _rows(batches):
@@ -282,6 +372,7 @@ def _deal_phrases(groups: int, folder: str):
                 continue
             shared = parse.shared(answers.flags(row["block"], len(parse.triggers()[0])))
             one, _ = parse.distinct(shared, ids)
+            one = one[parse.cold(one, ids, hot and hot.value)]
             at = np.searchsorted(_group_of(parse.trigger[one] >> np.uint64(24), groups), np.arange(groups + 1))
             out = []
             for g, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
@@ -368,7 +459,9 @@ def _which_came_later(table: pa.Table) -> pa.Table:
     name, trigger = phrase_names(text, begin, begin + sizes), triggers_of(text, begin)
     order = np.lexsort((docs, name, trigger))
     new = np.ones(len(order), bool)
-    new[1:] = (name[order[1:]] != name[order[:-1]]) | (trigger[order[1:]] != trigger[order[:-1]])
+    new[1:] = (name[order[1:]] != name[order[:-1]]) | (trigger[order[1:]] != trigger[order[:-1]]) | (sizes[order[1:]] != sizes[order[:-1]])
+    again = np.flatnonzero(~new)
+    new[again] = ~alike(text, begin[order[again]], begin[order[again - 1]], (sizes + DEPTH)[order[again]])
     heads = order[new]
     entry = np.empty(len(order), np.int64)
     entry[order] = np.cumsum(new) - 1
@@ -387,7 +480,7 @@ def _which_came_later(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block"), "grp": table.column("grp"), "answer": pa.array([x.tobytes() for x in np.split(answer, cut)], pa.binary())})
 
 
-def _cut(flag_folder: str, bit_folder: str):
+def _cut(flag_folder: str, bit_folder: str, hot=None):
     kind = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,9 +491,12 @@ def _cut(flag_folder: str, bit_folder: str):
             if len(parse.first):
                 shared = parse.shared(flags.flags(row["block"], len(parse.triggers()[0])))
                 one, group = parse.distinct(shared, ids)
-                said = np.concatenate([np.frombuffer(x, "<u4") for x in bits.of(row["block"])] or [np.zeros(0, np.uint32)])
-                if len(said) != len(one):
-                    raise ValueError(f"block {row['block']}: {len(said)} answers to {len(one)} phrases")
+                dealt = parse.cold(one, ids, hot and hot.value)
+                answers = np.concatenate([np.frombuffer(x, "<u4") for x in bits.of(row["block"])] or [np.zeros(0, np.uint32)])
+                if len(answers) != dealt.sum():
+                    raise ValueError(f"block {row['block']}: {len(answers)} answers to {dealt.sum()} phrases")
+                said = np.full(len(one), 2**32 - 1, np.uint32)  # of a hot phrase that starts earlier, all strings do
+                said[dealt] = answers
                 size = parse.last[shared] - parse.first[shared]
                 mask = np.where(ids[parse.doc[shared]] > ids[parse.doc[one]][group], 2**32 - 1, said[group]) if len(shared) else said
                 place = stretches(parse.first[shared], size + 1)
@@ -424,7 +520,7 @@ def _cut(flag_folder: str, bit_folder: str):
     return cut
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every document."""
     spark = docs.sparkSession
     stored = blocks(docs, id_col, text_col, min(block_bytes, 1 << (_POS - 1)))
@@ -433,10 +529,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     flag_folder, bit_folder = shared_dir(spark, "trigger-flags"), shared_dir(spark, "string-bits")
     counted = stored.mapInArrow(_count_triggers(groups), "grp long, block long, values binary, several binary, n long")
     _publish(counted.groupBy("grp").applyInArrow(_which_are_shared, "block long, grp long, answer binary"), flag_folder)
-    dealt = stored.mapInArrow(_deal_phrases(groups, flag_folder), "grp long, block long, bytes binary, more binary, docs binary")
+    hot = hot_phrases(stored, hot_blocks)
+    dealt = stored.mapInArrow(_deal_phrases(groups, flag_folder, hot), "grp long, block long, bytes binary, more binary, docs binary")
     _publish(dealt.groupBy("grp").applyInArrow(_which_came_later, "block long, grp long, answer binary"), bit_folder)
-    out = write_table(stored.mapInArrow(_cut(flag_folder, bit_folder), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "kept")
+    out = write_table(stored.mapInArrow(_cut(flag_folder, bit_folder, hot), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "kept")
     drop_table(stored)
+    if hot is not None:
+        hot.unpersist()
     return out
 
 

@@ -38,6 +38,31 @@ def test_against_brute_force(spark, documents, block_bytes, group_bytes):
     assert got == want and sum(x[2] for x in want) > 1000
 
 
+def test_hot_phrases_change_nothing(spark, documents, monkeypatch):
+    rng = random.Random(6)
+    popular = "".join(rng.choices("abcdef ", k=400))
+    rows = [(i, f"{rng.random()} {popular[rng.randrange(60) : 400 - rng.randrange(60)] if i % 3 else ''} {rng.random()}" * (1 + i % 2)) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (None, popular), rows[7]], "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(prefix_free, "HOT_SAMPLE", 1)
+    stored = prefix_free.blocks(docs, "doc_id", "text", 700)
+    hot = prefix_free.hot_phrases(stored, 3).value
+    assert len(hot.first) > 5 and set(hot.first.tolist()) <= {1, 2, 4, 5}
+    got = prefix_free.remove_repeats(docs, block_bytes=700, group_bytes=500, hot_blocks=3)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute([*rows, (None, popular), rows[7]])
+
+
+def test_equal_hashes_of_other_bytes(monkeypatch, spark, documents):
+    """With names of two bits, phrases are still told apart."""
+    few = prefix_free.phrase_names
+    monkeypatch.setattr(prefix_free, "phrase_names", lambda *a: few(*a) & np.uint64(3))
+    texts = [r["text"] for r in documents.collect() if r["text"]]
+    text, lengths = "".join(texts).encode(), np.array([len(t.encode()) for t in texts])
+    parse = prefix_free.Parse(text, lengths, np.ones(len(texts), bool))
+    one, back = parse.distinct(np.arange(len(parse.first)), np.arange(len(texts)))
+    of = lambda p: (int(parse.trigger[p]), parse.text[parse.first[p] : parse.last[p] + 50].tobytes())
+    assert len({of(p) for p in one}) >= 0.9 * len(one) and all(of(one[back[p]]) == of(p) for p in range(len(parse.first)))
+
+
 def test_nothing(spark, nothing):
     assert prefix_free.remove_repeats(nothing).count() == 0
 
