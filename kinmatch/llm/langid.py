@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import drop_table, fresh_name, write_table
+from kinmatch.llm.common import drop_table, fresh_name, slices, write_table
 
 
 
@@ -178,18 +178,18 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: lis
     """The columns ``keep`` of each row with the language and its score."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (pred_col, score_col)]
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables, model.rows))
-    body = fresh_name(docs, "text")
-    rows = docs.select(F.col(text_col).cast("string").alias(body), *[F.col(c) for c in keep])
+    body, alike = fresh_name(docs, "text"), text_col in keep and dict(docs.dtypes)[text_col] == "string"
+    rows = docs.select(*[F.col(c) for c in keep], *([] if alike else [F.col(text_col).cast("string").alias(body)]))
+    place = keep.index(text_col) if alike else len(keep)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
-        for batch in batches:
-            made = [own.predict(t.as_py()) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], names=[*batch.schema.names[1:], pred_col, score_col]
-            )
+        for batch in slices(batches, 2048):
+            made = [own.predict(t.as_py()) for t in batch.column(place)]
+            columns = [*batch.columns[: len(keep)], pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, pred_col, score_col])
 
-    schema = rows.drop(body).schema.add(pred_col, "string").add(score_col, "double")
+    schema = docs.select(*[F.col(c) for c in keep]).schema.add(pred_col, "string").add(score_col, "double")
     return rows.mapInArrow(predict, schema)
 
 
