@@ -9,7 +9,7 @@ The query stores a text as an image: 8-bit greyscale PNG, 192 samples to a line.
 
 Defined results: a null or empty text is one line of spaces; a reference to a digest that no
 container holds keeps its position and caption with a null payload; equal texts give equal values;
-an empty table gives no rows; other columns are ignored.
+an empty table gives no rows; other columns are ignored; ids are whole numbers.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ tree of free room finds in the logarithm of the number of sequences.
 
 Defined results: a null or empty text is a document of its end id alone; the string of a special token
 in a text is read as that token; repeated rows are packed
-each; an empty table gives no rows; other columns of the input are ignored.
+each; an empty table gives no rows; other columns of the input are ignored; ids are whole numbers.
 """
 
 from __future__ import annotations

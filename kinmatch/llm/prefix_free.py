@@ -27,7 +27,7 @@ only order strings that are equal, which nothing asks for. The README has the fi
 
 Defined results: a null text is empty; texts under 50 bytes lose nothing; documents of equal id
 don't remove each other's bytes; a document with a null id neither loses nor removes; repeated rows
-each get a row; an empty table gives no rows; other columns are ignored.
+each get a row; an empty table gives no rows; other columns are ignored; ids are whole numbers.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ the order by bits.
 
 Defined results: a null text, or one without words, has fingerprint zero and is linked like any
 other; fewer words than a shingle's are one shingle; a null id takes part but is never the smallest
-unless its whole component has none; repeated rows each get a row; an empty table gives no rows.
+unless its whole component has none; repeated rows each get a row; an empty table gives no rows; ids are whole numbers.
 """
 
 from __future__ import annotations

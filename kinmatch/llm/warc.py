@@ -8,7 +8,7 @@ and the index, and then only the byte ranges of records; nothing is unpacked to
 Defined results: a null payload is empty; of records with equal payloads of at least
 ``min_revisit`` bytes, those with the smallest id are responses and all others revisit it; ids that
 are null revisit the smallest id, or are responses if there is none; an empty table writes nothing
-and reads nothing; a null URL leaves the field out; line ends in a URL are percent-encoded.
+and reads nothing; ids are whole numbers; a null URL leaves the field out; line ends in a URL are percent-encoded.
 """
 
 from __future__ import annotations
