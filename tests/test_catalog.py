@@ -1,5 +1,6 @@
 """The catalogue's queries against DuckDB on the small tables, and the entry module without its guests."""
 
+import functools
 import shutil
 import subprocess
 import sys
@@ -14,6 +15,15 @@ from kinmatch.plans import catalog
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True, scope="module")
+def one_run():
+    """Records and candidates are made once for all queries here."""
+    with pytest.MonkeyPatch.context() as m:
+        for name in ("records", "blocker_of", "Run"):
+            m.setattr(catalog, name, functools.cache(getattr(catalog, name)))
+        yield
+
+
 @pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
