@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from kinmatch.operators import evaluation, modeling
 from kinmatch.plans import pipeline
 from kinmatch.plans.config import Preparation
-from kinmatch.sources import readers, sinks
+from kinmatch.sources import readers
 
 
 def parser() -> argparse.ArgumentParser:
@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     if args.command == "evaluate":
         pairs = work.table("pair_features").filter("dataset_split = 'validation'")
         found = evaluation.evaluate(work.table("query_labels"), pairs, scores, args.thresholds)
-        sinks.write_json(found, f"{args.work}/validation_f05.json")
+        work.say("validation_f05", found)
         print(json.dumps(found["best"]))
         return found
     if args.threshold is None and args.model is None:

@@ -17,25 +17,39 @@ from kinmatch.functions.constants import INDEX_COLUMNS, MODEL_COLUMNS, RAW_COLUM
 from kinmatch.functions.hashing import file_identity
 from kinmatch.operators import blocking, cleaning, evaluation, features, guards, labeling, modeling, sampling, tfidf
 from kinmatch.plans.config import Preparation
-from kinmatch.sources import readers, sinks
+from kinmatch.sources import files, readers, sinks
 from kinmatch.sources.identity import code_sha256, content_identity, table_identity
 
 STAGES = ("index", "block", "label", "features", "export")
 
 
 class Work:
-    """A folder of one run: tables by name, and the manifest."""
+    """A folder of one run, in any file system: tables by name, and the manifest."""
 
     def __init__(self, spark: SparkSession, root: str, signature: dict | None = None):
-        self.spark, self.root = spark, Path(root)
-        self.root.mkdir(parents=True, exist_ok=True)
-        at = self.root / "manifest.json"
-        self.manifest = json.loads(at.read_text(encoding="utf-8")) if at.exists() else {"signature": signature, "stages": {}}
+        self.spark, self.root = spark, root.rstrip("/")
+        files.make_folder(spark, self.root)
+        at = f"{self.root}/manifest.json"
+        signature = json.loads(json.dumps(signature))
+        self.manifest = files.read_json(spark, at) if files.exists(spark, at) else {"signature": signature, "stages": {}}
         if signature is not None and self.manifest["signature"] != signature:
             raise ValueError("this folder holds a run with other settings, inputs or code")
 
     def path(self, name: str) -> str:
-        return str(self.root / f"{name}.parquet")
+        return f"{self.root}/{name}.parquet"
+
+    def say(self, name: str, value) -> None:
+        files.write_json(self.spark, value, f"{self.root}/{name}.json")
+
+    def said(self, name: str):
+        return files.read_json(self.spark, f"{self.root}/{name}.json")
+
+    def export(self, name: str, df: DataFrame, order: list[str]) -> None:
+        """A table as TSV: one file in a local folder, part files elsewhere."""
+        if "://" in self.root:
+            sinks.write_tsv_folder(df.orderBy(*order), f"{self.root}/{name}", "gzip" if name.endswith(".gz") else None)
+        else:
+            sinks.write_tsv(df, f"{self.root}/{name}", order)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -49,13 +63,13 @@ class Work:
         if any(n not in done for n in needs):
             raise ValueError(f"stage {stage} needs {needs} first")
         if stage in done:
-            if absent := [o for o in outputs if not (self.root / f"{o}.parquet").exists()]:
+            if absent := [o for o in outputs if not files.exists(self.spark, self.path(o))]:
                 raise ValueError(f"stage {stage} is done, but {absent} are gone; take a new folder")
             return
         began = time.time()
         action()
         done[stage] = {"seconds": round(time.time() - began, 3)}
-        sinks.write_json(self.manifest, str(self.root / "manifest.json"))
+        self.say("manifest", self.manifest)
 
 
 def clean(spark: SparkSession, inputs: readers.Inputs, out: str, splits=("train", "test"), tsv: bool = False) -> dict:
@@ -107,12 +121,12 @@ def prepare(spark: SparkSession, tables: dict[int, DataFrame], work_dir: str, co
         if split == "train":
             model = tfidf.fit(stored.filter("source > 1"), bits=config.hash_bits, hash_fn=config.hash_fn)
             work.put("idf", model.idf)
-            sinks.write_json({"n": model.n, "rows": model.rows, "bits": model.bits, "hash_fn": model.hash_fn}, str(work.root / "tfidf.json"))
+            work.say("tfidf", {"n": model.n, "rows": model.rows, "bits": model.bits, "hash_fn": model.hash_fn})
 
     def weights() -> tfidf.Tfidf:
-        root = Path(train_work) if train_work else work.root
-        said = json.loads((root / "tfidf.json").read_text(encoding="utf-8"))
-        return tfidf.Tfidf(spark.read.parquet(str(root / "idf.parquet")), said["n"], said["bits"], said["hash_fn"], said["rows"])
+        fitted = Work(spark, train_work) if train_work else work
+        said = fitted.said("tfidf")
+        return tfidf.Tfidf(fitted.table("idf"), said["n"], said["bits"], said["hash_fn"], said["rows"])
 
     def queries() -> DataFrame:
         found = work.table("records").filter("source = 1")
@@ -126,7 +140,7 @@ def prepare(spark: SparkSession, tables: dict[int, DataFrame], work_dir: str, co
         pairs = work.put("candidate_pairs", pairs)
         manifest = work.put("queries", manifest)
         blocker.forget(everything=True)
-        sinks.write_json(blocking.blocking_report(pairs, manifest), str(work.root / "blocking_report.json"))
+        work.say("blocking_report", blocking.blocking_report(pairs, manifest))
 
     def label() -> None:
         known = labeling.parse_truth(truth)
@@ -135,7 +149,7 @@ def prepare(spark: SparkSession, tables: dict[int, DataFrame], work_dir: str, co
         labeled = work.put("labeled_pairs", labeling.label_pairs(work.table("candidate_pairs"), known, asked))
         labels = work.put("query_labels", labeling.query_labels(asked, labeled))
         rows = [r.asDict() for r in labeling.recall_report(labels).collect()]
-        sinks.write_json(sorted(rows, key=lambda r: (-r["grouping"], str(r["dataset_split"]), str(r["country"]))), str(work.root / "candidate_recall.json"))
+        work.say("candidate_recall", sorted(rows, key=lambda r: (-r["grouping"], str(r["dataset_split"]), str(r["country"]))))
 
     def make_features() -> None:
         records = work.table("records")
@@ -156,10 +170,10 @@ def prepare(spark: SparkSession, tables: dict[int, DataFrame], work_dir: str, co
         if split == "train":
             labels = work.table("query_labels")
             report |= {f"{r['dataset_split']}_queries": r["count"] for r in labels.groupBy("dataset_split").count().collect()}
-            sinks.write_tsv(labels.select("source1_entity_id", "country", "dataset_split", "matched_entity_ids"), str(work.root / "query_labels.tsv.gz"), ["source1_entity_id"])
+            work.export("query_labels.tsv.gz", labels.select("source1_entity_id", "country", "dataset_split", "matched_entity_ids"), ["source1_entity_id"])
         lists = labeling.candidate_lists(work.table("queries"), work.table("candidate_pairs"))
-        sinks.write_tsv(work.put("candidate_lists", lists), str(work.root / "candidate_pairs.tsv"), ["source1_entity_id"])
-        sinks.write_json(report, str(work.root / "tables_report.json"))
+        work.export("candidate_pairs.tsv", work.put("candidate_lists", lists), ["source1_entity_id"])
+        work.say("tables_report", report)
 
     steps = {"index": (index, (), ("records",)), "block": (block, ("index",), ("candidate_pairs", "queries")), "label": (label, ("block",), ("labeled_pairs", "query_labels")), "features": (make_features, ("label",) if split == "train" else ("block",), ("pair_features",)), "export": (export, ("features",), ("candidate_lists", *(("train_features", "validation_features") if split == "train" else ("test_features",))))}
     for stage in stages:
@@ -175,7 +189,7 @@ def prepare(spark: SparkSession, tables: dict[int, DataFrame], work_dir: str, co
 
 def weights_identity(work: Work) -> dict:
     """The TF-IDF weights of a training run, by content."""
-    return content_identity(work.table("idf").select("field", "bucket", "df")) | json.loads((work.root / "tfidf.json").read_text(encoding="utf-8"))
+    return content_identity(work.table("idf").select("field", "bucket", "df")) | work.said("tfidf")
 
 
 MODEL_FILES = ("validation_f05.json", "feature_importance.tsv", "learning_curve.json")
@@ -186,47 +200,45 @@ def train(work: Work, model_dir: str, config: modeling.Training, names: list[str
 
     A folder with a model of the same settings, inputs and code is complete, and read; one of others is refused.
     """
-    names, root = list(names or MODEL_COLUMNS), Path(model_dir)
+    names, spark = list(names or MODEL_COLUMNS), work.spark
     inputs = {t: table_identity(work.table(t)) for t in ("pair_features", "query_labels")}
     signature = json.loads(json.dumps({"config": asdict(config), "features": names, "inputs": inputs, "tfidf": weights_identity(work), "code_sha256": code_sha256()}))
-    at = root / "model_metadata.json"
-    if at.exists():
-        known = json.loads(at.read_text(encoding="utf-8"))
+    at = f"{model_dir}/model_metadata.json"
+    if files.exists(spark, at):
+        known = files.read_json(spark, at)
         if known["signature"] != signature:
             raise ValueError("training settings, inputs or code changed; take a new model folder")
         if known["status"] == "complete":
-            load_model(work.spark, work, model_dir)
-            if absent := [f for f in MODEL_FILES if not (root / f).exists()]:
+            load_model(spark, work, model_dir)
+            if absent := [f for f in MODEL_FILES if not files.exists(spark, f"{model_dir}/{f}")]:
                 raise ValueError(f"the model is complete, but {absent} are gone; take a new model folder")
             return known
-    root.mkdir(parents=True, exist_ok=True)
-    sinks.write_json({"status": "running", "signature": signature}, str(at))
+    files.write_json(spark, {"status": "running", "signature": signature}, at)
     table = work.table("pair_features")
     rows, watched = table.filter("dataset_split = 'train'"), table.filter("dataset_split = 'validation'")
     fitted = modeling.train(rows, watched, names, config)
     modeling.save(fitted, f"{model_dir}/trees")
-    model = modeling.load(work.spark, f"{model_dir}/trees")
+    model = modeling.load(spark, f"{model_dir}/trees")
     watch = modeling.training_rows(watched, names, config.max_early_stopping_pairs, config.seed + 1, "validation")
-    sinks.write_json({"validation_log_loss": modeling.learning_curve(model, watch)}, str(root / "learning_curve.json"))
-    with (root / "feature_importance.tsv").open("w", encoding="utf-8") as f:
-        f.write("feature\tgain\tsplits\n")
-        f.writelines(f"{name}\t{gain!r}\t{splits}\n" for name, gain, splits in modeling.importance(model))
+    files.write_json(spark, {"validation_log_loss": modeling.learning_curve(model, watch)}, f"{model_dir}/learning_curve.json")
+    lines = ["feature\tgain\tsplits", *(f"{name}\t{gain!r}\t{splits}" for name, gain, splits in modeling.importance(model))]
+    files.write_text(spark, "\n".join(lines) + "\n", f"{model_dir}/feature_importance.tsv")
     scores = work.put("validation_probabilities", modeling.predict(model, watched, names))
     found = evaluation.evaluate(work.table("query_labels"), watched, scores, config.thresholds)
-    sinks.write_json(found, str(root / "validation_f05.json"))
+    files.write_json(spark, found, f"{model_dir}/validation_f05.json")
     metadata = {
         "status": "complete", "signature": signature, "features": names, "model_sha256": modeling.model_identity(model, config), "trees": model.stages[1].getNumTrees, "decision_threshold": found["best"]["threshold"], "validation_macro_f05": found["best"]["macro_f05"],
         "train_rows": modeling.summary(rows, config.max_train_pairs), "early_stopping_rows": modeling.summary(watched, config.max_early_stopping_pairs), "final_validation_pairs": scores.count(), "validation_queries": found["queries"], "best": found["best"],
     }
-    sinks.write_json(metadata, str(at))
+    files.write_json(spark, metadata, at)
     return metadata
 
 
 def load_model(spark: SparkSession, work: Work, model_dir: str):
     """A complete model and its metadata: its trees, its features and the weights of its training run
     must be those that it was evaluated with."""
-    at = Path(model_dir) / "model_metadata.json"
-    known = json.loads(at.read_text(encoding="utf-8")) if at.exists() else {}
+    at = f"{model_dir}/model_metadata.json"
+    known = files.read_json(spark, at) if files.exists(spark, at) else {}
     if known.get("status") != "complete":
         raise ValueError("training isn't complete")
     model = modeling.load(spark, f"{model_dir}/trees")
@@ -249,7 +261,7 @@ def predict(work: Work, model_dir: str, names: list[str] | None = None) -> DataF
     n = scores.count()
     if n != table.count():
         raise ValueError("not every pair has a score")
-    sinks.write_json({"model_sha256": known["model_sha256"], "source": table_identity(table), "rows": n, "threshold": known["decision_threshold"]}, str(work.root / "probabilities.metadata.json"))
+    work.say("probabilities.metadata", {"model_sha256": known["model_sha256"], "source": table_identity(table), "rows": n, "threshold": known["decision_threshold"]})
     return scores
 
 
@@ -278,12 +290,12 @@ sample_summary.json describes the full files and the sample.
 def sample(spark: SparkSession, inputs: readers.Inputs, out: str, *, per_country: int = 5000, distractors: int = 5000, seed: int = 42) -> dict:
     """A sample that keeps all true matches of its queries, as TSV files and one new ZIP file."""
     inputs.require()
-    staged, summary, files = Path(out).with_suffix(".files"), {}, {}
+    staged, summary, made = Path(out).with_suffix(".files"), {}, {}
     staged.mkdir(parents=True, exist_ok=False)
 
     def put(name: str, df: DataFrame, order: list[str]) -> None:
-        files[name] = str(staged / name)
-        summary[name] = sinks.write_tsv(df, files[name], order)
+        made[name] = str(staged / name)
+        summary[name] = sinks.write_tsv(df, made[name], order)
 
     sizes, full = inputs.sizes(), {}
 
@@ -316,7 +328,7 @@ def sample(spark: SparkSession, inputs: readers.Inputs, out: str, *, per_country
     settings = {"seed": seed, "per_country": per_country, "distractors": distractors}
     sinks.write_json({"settings": settings, "full_dataset": full, "sample": summary}, str(staged / "sample_summary.json"))
     (staged / "SAMPLE_README.txt").write_text(SAMPLE_NOTE, encoding="utf-8")
-    named = {f"dataset/{n.partition('_')[0]}/{n}": p for n, p in files.items()} | {f: str(staged / f) for f in ("sample_summary.json", "SAMPLE_README.txt")}
+    named = {f"dataset/{n.partition('_')[0]}/{n}": p for n, p in made.items()} | {f: str(staged / f) for f in ("sample_summary.json", "SAMPLE_README.txt")}
     named |= {f"utils/{n}" if n.endswith(".py") else n: p for n, p in inputs.extras().items()}
     sinks.zip_files(named, out)
     queries.unpersist()
