@@ -81,6 +81,17 @@ def _first(df: DataFrame, by: list[str], n: int) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(*by).orderBy("rid"))).filter(F.col("rn") <= n).drop("rn")
 
 
+def _lists(df: DataFrame, by: list[str], n: int) -> DataFrame:
+    """Of each group the ``n`` lowest ``rid``, as one array."""
+    return _first(df, by, n).groupBy(*by).agg(F.collect_list("rid").alias("rids"))
+
+
+def _united(hits: DataFrame, by: list[str]) -> DataFrame:
+    """The union of each group's lists, ascending. Lists are short and a query has few, so arrays of some
+    thousand numbers take the place of as many rows."""
+    return hits.groupBy(*by).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("rids")))).alias("rids"))
+
+
 # ---------------------------------------------------------------- channels
 
 
@@ -144,12 +155,12 @@ class Blocker:
 
     def postings(self) -> DataFrame:
         """Key postings, each list cut to one more than a channel may use."""
-        return _first(self.keys, ["class", "channel", "key"], self.limits.block_limit + 1)
+        return _lists(self.keys, ["class", "channel", "key"], self.limits.block_limit + 1)
 
     def key_matches(self, read: DataFrame) -> DataFrame:
         """``sid, channel, rid, n``: what shares a key, and how many do; beyond the limit, not all are listed."""
-        hits = self._asked_keys(read).join(self.postings(), ["class", "channel", "key"]).select("sid", "channel", "rid").distinct()
-        return self._keep(hits.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sid", "channel"))), "key-matches")
+        found = _united(self._asked_keys(read).join(self.postings(), ["class", "channel", "key"]), ["sid", "channel"]).withColumn("n", F.size("rids"))
+        return self._keep(found.select("sid", "channel", F.explode(F.slice("rids", 1, self.limits.block_limit + 1)).alias("rid"), "n"), "key-matches")
 
     def keyed_hits(self, read: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Hits of channels A to D, and the (query, channel) that overflowed."""
@@ -169,8 +180,8 @@ class Blocker:
         hot = self.keys.join(keys.select("class", "channel", "key").distinct(), ["class", "channel", "key"], "left_semi")
         both = hot.join(self._tokens(wanted), ["class", "rid"]).join(wanted.select(*at).distinct(), at, "left_semi")
         if self.limits.retrieval == "rowid":
-            hits = wanted.join(_first(both, at, limit), at).select("sid", "channel", "rid").distinct()
-            return _first(hits, ["sid", "channel"], limit).select("sid", "channel", "rid")
+            found = _united(wanted.join(_lists(both, at, limit), at), ["sid", "channel"])
+            return found.select("sid", "channel", F.explode(F.slice("rids", 1, limit)).alias("rid"))
         hits = wanted.join(both, at).select("sid", "channel", "rid", "field", "token").distinct()
         return self._best(hits, "channel", limit)
 
@@ -179,8 +190,8 @@ class Blocker:
         pool, at = self.limits.lexical_pool, ["class", "field", "token"]
         asked = self._asked_tokens(read)
         if self.limits.retrieval == "rowid":
-            hits = asked.join(_first(self._tokens(asked), at, pool), at).select("sid", "field", "rid").distinct()
-            return self._keep(_first(hits, ["sid", "field"], pool).select("sid", "field", "rid"), "pool")
+            found = _united(asked.join(_lists(self._tokens(asked), at, pool), at), ["sid", "field"])
+            return self._keep(found.select("sid", "field", F.explode(F.slice("rids", 1, pool)).alias("rid")), "pool")
         hits = asked.join(self._tokens(asked), at).select("sid", "rid", "field", "token").distinct()
         return self._keep(self._best(hits.withColumn("g", F.col("field")), "g", pool).select("sid", F.col("g").alias("field"), "rid"), "pool")
 
