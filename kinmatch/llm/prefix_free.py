@@ -194,7 +194,13 @@ class Parse:
         """Which of these phrases aren't a hot one that starts in a smaller document."""
         if hot is None or not len(phrases):
             return np.ones(len(phrases), bool)
-        return ids[self.doc[phrases]] <= hot.first_of(self.trigger[phrases], phrase_names(self.text, self.first[phrases], self.last[phrases]))
+        return ids[self.doc[phrases]] <= hot.first_of(self.trigger[phrases], self.names(phrases))
+
+    def names(self, phrases: np.ndarray) -> np.ndarray:
+        """The phrases' hashes, whatever their order."""
+        order, out = np.argsort(self.first[phrases], kind="stable"), np.empty(len(phrases), np.uint64)
+        out[order] = phrase_names(self.text, self.first[phrases[order]], self.last[phrases[order]])
+        return out
 
     def take(self, phrases: np.ndarray) -> np.ndarray:
         """The phrases' bytes, one after the other."""
@@ -336,7 +342,7 @@ def _phrases_of(hot=None):
         for row in _rows(batches):
             ids, _, _, parse = _open_block(row)
             one, _ = parse.distinct(np.arange(len(parse.first)), ids)
-            trigger, name = parse.trigger[one], phrase_names(parse.text, parse.first[one], parse.last[one])
+            trigger, name = parse.trigger[one], parse.names(one)
             doc = ids[parse.doc[one]]
             if hot is not None:
                 mine = hot.value.at(trigger, name) >= 0

@@ -44,11 +44,22 @@ def test_hot_phrases_change_nothing(spark, documents, monkeypatch):
     rows = [(i, f"{rng.random()} {popular[rng.randrange(60) : 400 - rng.randrange(60)] if i % 3 else ''} {rng.random()}" * (1 + i % 2)) for i in range(60)]
     docs = spark.createDataFrame([*rows, (None, popular), rows[7]], "doc_id long, text string").repartition(4)
     monkeypatch.setattr(prefix_free, "HOT_SAMPLE", 1)
-    stored = prefix_free.blocks(docs, "doc_id", "text", 700)
-    hot = prefix_free.hot_phrases(stored, 3).value
-    assert len(hot.first) > 5 and set(hot.first.tolist()) <= {1, 2, 4, 5}
-    got = prefix_free.remove_repeats(docs, block_bytes=700, group_bytes=500, hot_blocks=3)
-    assert sorted((tuple(r) for r in got.collect()), key=str) == brute([*rows, (None, popular), rows[7]])
+    monkeypatch.setattr(prefix_free, "_CHUNK", 1 << 11)  # blocks of several portions
+    for block_bytes, hot_blocks in ((700, 3), (8000, 1)):
+        stored = prefix_free.blocks(docs, "doc_id", "text", block_bytes)
+        hot = prefix_free.hot_phrases(stored, hot_blocks).value
+        assert len(hot.first) > 5 and set(hot.first.tolist()) <= {1, 2, 4, 5}
+        got = prefix_free.remove_repeats(docs, block_bytes=block_bytes, group_bytes=500, hot_blocks=hot_blocks)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == brute([*rows, (None, popular), rows[7]])
+
+
+def test_names_in_any_order():
+    rng = np.random.default_rng(2)
+    text = rng.integers(97, 100, 100_000).astype(np.uint8).tobytes()
+    parse = prefix_free.Parse(text, np.array([len(text)]), np.ones(1, bool))
+    every = np.arange(len(parse.first))
+    names, mixed = parse.names(every), rng.permutation(every)
+    assert (parse.names(mixed) == names[mixed]).all() and len(np.unique(names)) > 1000
 
 
 def test_equal_hashes_of_other_bytes(monkeypatch, spark, documents):
