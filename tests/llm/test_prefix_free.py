@@ -48,7 +48,7 @@ def test_hot_phrases_change_nothing(spark, documents, monkeypatch):
     for block_bytes, hot_blocks in ((700, 3), (8000, 1)):
         stored = prefix_free.blocks(docs, "doc_id", "text", block_bytes)
         hot = prefix_free.hot_phrases(stored, hot_blocks).value
-        assert len(hot.first) > 5 and set(hot.first.tolist()) <= {1, 2, 4, 5}
+        assert len(hot.first) > 5 and (hot_blocks == 1 or set(hot.first.tolist()) <= {1, 2, 4, 5})
         got = prefix_free.remove_repeats(docs, block_bytes=block_bytes, group_bytes=500, hot_blocks=hot_blocks)
         assert sorted((tuple(r) for r in got.collect()), key=str) == brute([*rows, (None, popular), rows[7]])
 
