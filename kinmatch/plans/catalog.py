@@ -18,6 +18,7 @@ from kinmatch.functions import text as T
 from kinmatch.functions.constants import CHANNELS, FEATURES, MODEL_COLUMNS
 from kinmatch.operators import cleaning, evaluation, features, labeling, modeling, sampling, tfidf
 from kinmatch.operators.blocking import Blocker, Limits
+from kinmatch.sources import files
 from kinmatch.sources.staging import staged
 
 THRESHOLDS = (0.2, 0.5, 0.8, 1.0)
@@ -51,9 +52,22 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_records(raw_records(spark, sf))
 
 
+_made: dict[tuple[str, str, str], tuple[object, Callable[[], list[DataFrame]]]] = {}
+
+
+def _once(name: str, spark: SparkSession, sf: str, make: Callable[[], object], tables: Callable[[object], list[DataFrame]]):
+    """What a session has prepared is made once for all its queries, and again if its tables are gone."""
+    key = (name, spark.sparkContext.applicationId, sf)
+    if key in _made and all(files.exists(spark, f) for t in _made[key][1]() for f in t.inputFiles()[:1]):
+        return _made[key][0]
+    found = make()
+    _made[key] = found, lambda: tables(found)
+    return found
+
+
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned once for all that a query does with them."""
-    return staged(cleaned(spark, sf).drop("text"), "records")
+    """Cleaned records."""
+    return _once("records", spark, sf, lambda: staged(cleaned(spark, sf).drop("text"), "records"), lambda t: [t])
 
 
 def queries_of(r: DataFrame) -> DataFrame:
@@ -71,17 +85,26 @@ def truth_of(spark: SparkSession, sf: str) -> DataFrame:
     return queries_of(raw).join(ids, "t", "left").select(F.col("entity_id").alias("source1_entity_id"), F.coalesce("matched_entity_ids", F.lit("")).alias("matched_entity_ids"))
 
 
-def blocker_of(r: DataFrame, retrieval: str = "rowid") -> Blocker:
-    refs = references_of(r)
-    return Blocker(refs, tfidf.fit(refs, hash_fn="md5"), Limits(retrieval=retrieval))
+def blocker_of(spark: SparkSession, sf: str, retrieval: str = "rowid") -> Blocker:
+    """The references, indexed."""
+
+    def make() -> Blocker:
+        refs = references_of(records(spark, sf))
+        return Blocker(refs, tfidf.fit(refs, hash_fn="md5"), Limits(retrieval=retrieval))
+
+    return _once(f"blocker {retrieval}", spark, sf, make, lambda b: [records(spark, sf), *b._tables])
+
+
+def run_of(spark: SparkSession, sf: str) -> Run:
+    return _once("run", spark, sf, lambda: Run(spark, sf), lambda r: [r.records, *r.blocker._tables])
 
 
 class Run:
-    """Records, candidates with a probability, and the manifest, as far as a query needs them."""
+    """Records, candidates with a probability, and the manifest, which many queries start from."""
 
     def __init__(self, spark: SparkSession, sf: str):
-        self.records = records(spark, sf)
-        pairs, self.manifest = blocker_of(self.records).candidates(queries_of(self.records))
+        self.records, self.blocker = records(spark, sf), blocker_of(spark, sf)
+        pairs, self.manifest = self.blocker.candidates(queries_of(self.records))
         # what retrieval gives stands in for a model's probability
         self.pairs = pairs.withColumn("match_probability", F.round(F.least(F.lit(1.0), F.col("retrieval_score").cast("double")), 6))
 
@@ -149,7 +172,7 @@ def _channel(channel):
     def run(spark, sf):
         """Hits of a channel, those that overflow by their fallback."""
         r = records(spark, sf)
-        blocker = blocker_of(r)
+        blocker = blocker_of(spark, sf)
         hits, _ = blocker.keyed_hits(blocker.read(queries_of(r)))
         return hits.filter(F.col("channel") == channel).select("sid", "rid")
 
@@ -164,7 +187,7 @@ def er_block_overflow(spark, sf):
 
 def er_token_pool(spark, sf):
     r = records(spark, sf)
-    blocker = blocker_of(r)
+    blocker = blocker_of(spark, sf)
     return blocker.lexical_pool(blocker.read(queries_of(r)))
 
 
@@ -187,7 +210,7 @@ def er_tfidf_vectors(spark, sf):
 def er_cosine(spark, sf):
     """Both cosines of all pairs of any channel."""
     r = records(spark, sf)
-    blocker = blocker_of(r)
+    blocker = blocker_of(spark, sf)
     read = blocker.read(queries_of(r))
     hits, _ = blocker.keyed_hits(read)
     pairs = hits.select("sid", "rid").union(blocker.lexical_pool(read).select("sid", "rid")).distinct()
@@ -196,14 +219,14 @@ def er_cosine(spark, sf):
 
 def er_channel_union(spark, sf):
     """All six channels of the chosen pairs."""
-    pairs = Run(spark, sf).pairs
+    pairs = run_of(spark, sf).pairs
     return pairs.select("source1_entity_id", "candidate_entity_id", *[F.col(f"block_{c}").cast("long").alias(f"block_{c}") for c in CHANNELS])
 
 
 def er_candidates(spark, sf, retrieval="rowid"):
     """All six channels, ranked and capped."""
     r = records(spark, sf)
-    pairs, _ = blocker_of(r, retrieval).candidates(queries_of(r))
+    pairs, _ = blocker_of(spark, sf, retrieval).candidates(queries_of(r))
     if retrieval == "bm25":
         return pairs
     rounded = {c: F.round(F.col(c).cast("double"), 4) for c in ("retrieval_score", "name_retrieval_cosine", "address_retrieval_cosine")}
@@ -211,16 +234,16 @@ def er_candidates(spark, sf, retrieval="rowid"):
 
 
 def er_manifest(spark, sf):
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     return run.manifest.select("source1_entity_id", "country", *[F.col(c).cast("long").alias(c) for c in ("n_candidates", "union_candidates")], "overflow_blocks")
 
 
 def er_rank_cap(spark, sf):
-    return Run(spark, sf).pairs.select("source1_entity_id", "candidate_entity_id", F.col("candidate_rank").cast("long").alias("candidate_rank"))
+    return run_of(spark, sf).pairs.select("source1_entity_id", "candidate_entity_id", F.col("candidate_rank").cast("long").alias("candidate_rank"))
 
 
 def er_similarities(spark, sf):
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     a, b = F.col("a.name_basic"), F.col("b.name_basic")
     r6 = lambda c: F.round(c, 6)
     return run.sides(run.pairs).select(
@@ -231,7 +254,7 @@ def er_similarities(spark, sf):
 
 def er_features(spark, sf):
     """All features of all candidates."""
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     found = features.extract(run.pairs, queries_of(run.records), references_of(run.records))
     return found.select("source1_entity_id", "candidate_entity_id", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in FEATURES])
 
@@ -241,30 +264,30 @@ def er_truth(spark, sf):
 
 
 def er_label(spark, sf):
-    labeled, _ = Run(spark, sf).labels(spark, sf)
+    labeled, _ = run_of(spark, sf).labels(spark, sf)
     return labeled.select("source1_entity_id", "candidate_entity_id", F.col("label").cast("long").alias("label"), "dataset_split")
 
 
 def er_label_audit(spark, sf):
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     return labeling.lost_links(run.truth(spark, sf), run.pairs)
 
 
 def er_split(spark, sf):
-    return Run(spark, sf).labels(spark, sf)[1].select("source1_entity_id", "country", "dataset_split", "n_candidates", "true_links", "retrieved_true_links")
+    return run_of(spark, sf).labels(spark, sf)[1].select("source1_entity_id", "country", "dataset_split", "n_candidates", "true_links", "retrieved_true_links")
 
 
 def er_recall_report(spark, sf):
-    r = labeling.recall_report(Run(spark, sf).labels(spark, sf)[1])
+    r = labeling.recall_report(run_of(spark, sf).labels(spark, sf)[1])
     return r.select(F.col("grouping").cast("long").alias("grouping"), "dataset_split", "country", "queries", "true_links", "retrieved_true_links", "queries_with_matches", "queries_all_matches_retrieved", "singleton_queries", "candidate_pairs", F.round("candidate_recall", 6).alias("candidate_recall"), F.round("oracle_macro_f05_ceiling", 6).alias("ceiling"))
 
 
 def er_oracle_ceiling(spark, sf):
-    return Run(spark, sf).labels(spark, sf)[1].agg(F.round(F.avg(labeling.oracle_f05(F.col("true_links"), F.col("retrieved_true_links"))), 6).alias("ceiling"))
+    return run_of(spark, sf).labels(spark, sf)[1].agg(F.round(F.avg(labeling.oracle_f05(F.col("true_links"), F.col("retrieved_true_links"))), 6).alias("ceiling"))
 
 
 def _swept(spark, sf):
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     _, labels = run.labels(spark, sf)
     return evaluation.sweep(labels, evaluation.covered(run.pairs, run.pairs.select(*evaluation.PAIR, "match_probability")), THRESHOLDS)
 
@@ -278,12 +301,12 @@ def er_best_threshold(spark, sf):
 
 
 def er_candidate_list(spark, sf):
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     return labeling.candidate_lists(run.manifest, run.pairs)
 
 
 def er_submission(spark, sf):
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     return evaluation.submission(run.manifest, run.pairs, 0.5)
 
 
@@ -312,13 +335,13 @@ def er_latin_fold(spark, sf):
 
 
 def er_sequence_ratio(spark, sf):
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     return features.prototype_features(run.sides(run.pairs.select("source1_entity_id", "candidate_entity_id"))).drop("a", "b")
 
 
 def er_train_predict(spark, sf):
     """A model of all columns, fitted with production settings, and its scores of all pairs."""
-    run = Run(spark, sf)
+    run = run_of(spark, sf)
     labeled, _ = run.labels(spark, sf)
     table = staged(features.extract(labeled.drop("match_probability"), queries_of(run.records), references_of(run.records), nan=True), "features")
     names = list(MODEL_COLUMNS)

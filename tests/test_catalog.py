@@ -1,6 +1,5 @@
 """The catalogue's queries against DuckDB on the small tables, and the entry module without its guests."""
 
-import functools
 import shutil
 import subprocess
 import sys
@@ -15,15 +14,6 @@ from kinmatch.plans import catalog
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(autouse=True, scope="module")
-def one_run():
-    """Records and candidates are made once for all queries here."""
-    with pytest.MonkeyPatch.context() as m:
-        for name in ("records", "blocker_of", "Run"):
-            m.setattr(catalog, name, functools.cache(getattr(catalog, name)))
-        yield
-
-
 @pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
@@ -42,6 +32,14 @@ def test_rows(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
 
 
+def test_prepared_tables_are_made_again_if_they_are_gone(spark):
+    first = catalog.records(spark, SF)
+    assert catalog.records(spark, SF) is first
+    shutil.rmtree(Path(first.inputFiles()[0].removeprefix("file:").replace("//", "/")).parent)
+    assert catalog.records(spark, SF).count() == 200
+    assert catalog.QUERIES["er_rank_cap"](spark, SF).count() > 0
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
