@@ -56,12 +56,6 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def let_go(spark: SparkSession) -> None:
-    """Ask the driver's JVM to collect: Spark removes the shuffle files of plans that nothing holds any more,
-    which it otherwise learns of only when the driver happens to be short of memory."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def fresh_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have, whatever it has."""
     name = f"__{name}"
