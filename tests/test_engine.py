@@ -401,3 +401,16 @@ def test_stream(spark, tmp_path):
     match_stream(spark.readStream.schema(raw.schema).parquet(str(tmp_path / "in")), blocker, None, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r["source1_entity_id"], r["candidate_entity_id"]) for r in got.collect()) == [(f"S1-{i}", "S2-1") for i in range(3)]
+
+def test_vectors_are_never_sent_to_the_driver(spark, tmp_path, monkeypatch):
+    """Spark takes the vectors for as small as the texts, and exploded tokens for as small as their compressed file."""
+    made = []
+    write = blocking.staged
+    monkeypatch.setattr(blocking, "staged", lambda df, name: made.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, name))
+    refs = frame(spark, [record("S2-a", "abc motors", "105 elm street"), record("S3-b", "abc lights", "7 oak road")]).withColumns({"rid": F.monotonically_increasing_id(), "source": F.lit(2)})
+    for table, at in ((refs, "refs"), (frame(spark, [record("S1-a", "abc motors", "105 elm street")]), "asked")):
+        table.write.parquet(f"{tmp_path}/{at}")
+    refs = spark.read.parquet(f"{tmp_path}/refs")
+    pairs, _ = blocking.Blocker(refs, tfidf.fit(refs, bits=12), blocking.Limits(block_limit=1)).candidates(spark.read.parquet(f"{tmp_path}/asked"))
+    assert {r["candidate_entity_id"] for r in pairs.collect()} == {"S2-a", "S3-b"}
+    assert len(made) > 5 and not [line for plan in made for line in plan.splitlines() if "BroadcastHashJoin" in line]
