@@ -414,3 +414,41 @@ def test_vectors_are_never_sent_to_the_driver(spark, tmp_path, monkeypatch):
     pairs, _ = blocking.Blocker(refs, tfidf.fit(refs, bits=12), blocking.Limits(block_limit=1)).candidates(spark.read.parquet(f"{tmp_path}/asked"))
     assert {r["candidate_entity_id"] for r in pairs.collect()} == {"S2-a", "S3-b"}
     assert len(made) > 5 and not [line for plan in made for line in plan.splitlines() if "BroadcastHashJoin" in line]
+
+
+def test_bm25_scores_full_lists_in_parts(spark, monkeypatch):
+    """Each part of the references meets every query; with parts of few rows as with one, as by hand."""
+    import random
+    from collections import Counter
+    from math import log
+
+    from kinmatch.operators import bm25
+
+    rng = random.Random(5)
+    draw = lambda words, n: sorted(rng.sample(words, rng.randint(0, n)))
+    refs = [(i, rng.sample(["US", "FR", "*"], 2), [("name", w) for w in draw("abcdef", 5)] + [("address", w) for w in draw("abxy", 4)], [("B", k) for k in draw("pqr", 2)]) for i in range(60)]
+    asks = [(f"S1-{i}", rng.sample(["US", "FR", "*"], 1), [("name", w) for w in draw("abcdefz", 4)] + [("address", w) for w in draw("abxy", 2)], [(c, k) for c in "AB" for k in draw("pqr", 2)]) for i in range(20)]
+    pairs = "array<struct<{}:string,{}:string>>".format
+    tables = [spark.createDataFrame(rows, f"{key}, classes array<string>, {terms} {pairs('field', 'token')}, keys {pairs('channel', 'key')}") for rows, key, terms in ((refs, "rid long", "tokens"), (asks, "sid string", "asked"))]
+    mean = sum(len(t) + len(k) + 1 for *_, t, k in refs) / len(refs)
+    n = Counter(t for r in refs for t in r[2])
+
+    def score(ref, tokens):
+        return round(sum(max(log((60 - n[t] + 0.5) / (n[t] + 0.5)), 1e-6) for t in tokens) * 2.2 / (1 + 1.2 * (0.25 + 0.75 * (len(ref[2]) + len(ref[3]) + 1) / mean)), 9)
+
+    want = {False: set(), True: set()}
+    for sid, classes, asked, keys in asks:
+        for by_key, groups in ((False, {f for f, _ in asked}), (True, {c for c, _ in keys})):
+            for g in groups:
+                found = []
+                for ref in refs:
+                    shared = [t for t in asked if t in ref[2] and (by_key or t[0] == g)]
+                    if shared and set(classes) & set(ref[1]) and (not by_key or {k for k in keys if k[0] == g} & set(ref[3])):
+                        found.append((-score(ref, shared), ref[0]))
+                want[by_key] |= {(sid, g, rid) for _, rid in sorted(found)[:7]}
+    assert len(want[False]) > 100 and len(want[True]) > 40
+    for size in (7, 1 << 16):
+        monkeypatch.setattr(bm25, "PART_ROWS", size)
+        for by_key in want:
+            got = [tuple(r) for r in bm25.best(*tables, 7, by_key).collect()]
+            assert len(got) == len(set(got)) and set(got) == want[by_key]
