@@ -40,6 +40,18 @@ def test_prepared_tables_are_made_again_if_they_are_gone(spark):
     assert catalog.QUERIES["er_rank_cap"](spark, SF).count() > 0
 
 
+@pytest.mark.parametrize("name", ["er_label", "er_manifest", "er_split", "er_submission", "er_threshold_sweep", "er_best_threshold", "er_recall_report", "er_label_audit", "er_features", "er_similarities"])
+def test_what_grows_is_never_sent_to_the_driver(spark, name):
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_queries_share_what_retrieval_has_found(spark):
+    assert catalog.run_of(spark, SF).blocker is catalog.blocker_of(spark, SF)
+    assert catalog.hits_of(spark, SF)[0] is catalog.hits_of(spark, SF)[0]
+    assert catalog.cosines_of(spark, SF) is catalog.cosines_of(spark, SF)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
