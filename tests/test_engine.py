@@ -452,3 +452,27 @@ def test_bm25_scores_full_lists_in_parts(spark, monkeypatch):
         for by_key in want:
             got = [tuple(r) for r in bm25.best(*tables, 7, by_key).collect()]
             assert len(got) == len(set(got)) and set(got) == want[by_key]
+
+
+def test_cosines_of_pairs_go_by_parts(spark, monkeypatch):
+    """As a join of both vectors gives them, each pair once, over parts of few rows as over one."""
+    import random
+
+    from kinmatch.operators import cosine
+
+    rng = random.Random(3)
+    draw = lambda: " ".join(rng.choices(["acme", "sons", "blue", "río", "delta"], k=rng.randint(0, 3)))
+    refs = frame(spark, [record(f"S2-{i}", draw(), draw()) for i in range(40)]).withColumns({"rid": F.substring("entity_id", 4, 3).cast("long") * 7, "source": F.lit(2)})
+    asked = frame(spark, [record(f"S1-{i}", draw(), draw()) for i in range(12)])
+    blocker = blocking.Blocker(refs, tfidf.fit(refs, bits=12))
+    read = blocker.read(asked)
+    pairs = spark.createDataFrame([(f"S1-{rng.randrange(12)}", rng.randrange(41) * 7) for _ in range(300)], "sid string, rid long")
+    theirs = blocker.index.select("rid", "eid", "rname", F.col("name_vector").alias("rn"), F.col("address_vector").alias("ra"))
+    joined = pairs.distinct().join(read, "sid").join(theirs, "rid")
+    shown = ["sid", "rid", "qname", "eid", "rname", "nc", "ac"]
+    want = sorted(map(str, joined.withColumns({"nc": similarity.sparse_cosine("qn", "rn"), "ac": similarity.sparse_cosine("qa", "ra")}).select(*shown).collect()))
+    assert len(want) > 150 and any("nc=None" in r for r in want)
+    for part, out in ((7, 5), (1 << 15, 1 << 15)):
+        monkeypatch.setattr(cosine, "PART_ROWS", part)
+        monkeypatch.setattr(cosine, "OUT_ROWS", out)
+        assert sorted(map(str, blocker.with_cosines(pairs, read).select(*shown).collect())) == want
