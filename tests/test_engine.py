@@ -476,3 +476,31 @@ def test_cosines_of_pairs_go_by_parts(spark, monkeypatch):
         monkeypatch.setattr(cosine, "PART_ROWS", part)
         monkeypatch.setattr(cosine, "OUT_ROWS", out)
         assert sorted(map(str, blocker.with_cosines(pairs, read).select(*shown).collect())) == want
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """Each written table would leave its shuffles until the driver collects its garbage."""
+    from kinmatch.sources import staging
+
+    files = lambda: {x for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").splitlines() if "/shuffle_" in x}
+    before = files()
+    made = staging.staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n")), "counts")
+    assert made.count() == 7 and not [x for x in files() - before if x.endswith(".data")][1:]  # of the count itself there is one
+
+
+def test_candidates_in_portions_are_those_of_one(spark, monkeypatch):
+    import random
+
+    rng = random.Random(6)
+    draw = lambda n: " ".join(rng.choices(["acme", "sons", "blue", "delta", "motors"], k=rng.randint(1, n)))
+    refs = frame(spark, [record(f"S2-{i}", f"the {draw(3)}", f"{i % 4} {draw(2)} street") for i in range(60)]).withColumns({"rid": F.substring("entity_id", 4, 3).cast("long") * 7, "source": F.lit(2)})
+    asked = frame(spark, [record(f"S1-{i}", f"the {draw(3)}", f"{i % 4} {draw(2)} street") for i in range(20)])
+    limits = blocking.Limits(block_limit=5, lexical_pool=12, lexical_top_k=4, max_candidates=9)
+
+    def found():
+        return [sorted(map(str, t.collect())) for t in blocking.Blocker(refs, tfidf.fit(refs, bits=12), limits).candidates(asked)]
+
+    want = found()
+    assert len(want[0]) > 100 and any("overflow_blocks='B" in r for r in want[1])
+    monkeypatch.setattr(blocking, "PORTION_ROWS", 7)
+    assert found() == want
