@@ -504,3 +504,31 @@ def test_candidates_in_portions_are_those_of_one(spark, monkeypatch):
     assert len(want[0]) > 100 and any("overflow_blocks='B" in r for r in want[1])
     monkeypatch.setattr(blocking, "PORTION_ROWS", 7)
     assert found() == want
+
+
+def test_vectors_of_references_are_read_from_files_of_their_parts(spark, monkeypatch):
+    """Their copies in shuffles, one for each task of each portion, were most of the disk that retrieval took."""
+    from kinmatch.operators import cosine
+
+    refs = frame(spark, [record(f"S2-{i}", f"acme {i % 9} sons", f"{i} blue street") for i in range(40)]).withColumns({"rid": F.substring("entity_id", 4, 3).cast("long") * 7, "source": F.lit(2)})
+    asked = frame(spark, [record(f"S1-{i}", f"acme {i} sons", f"{i} blue street") for i in range(12)])
+    pairs = spark.createDataFrame([(f"S1-{i % 12}", i * 7) for i in range(41)], "sid string, rid long")
+    shown = ["sid", "rid", "eid", "rname", "nc", "ac"]
+    found = {}
+    for size in (1 << 15, 7):
+        monkeypatch.setattr(cosine, "PART_ROWS", size)
+        blocker = blocking.Blocker(refs, tfidf.fit(refs, bits=12))
+        scored = blocker.with_cosines(pairs, blocker.read(asked)).select(*shown)
+        found[size] = sorted(map(str, scored.collect())), len(cosine.files_of(blocker.index))
+        read = {f for f in blocker.index.inputFiles() if f in set(scored.inputFiles())}
+        assert not read  # no plan scans them for the cosines
+    assert found[7][0] == found[1 << 15][0] and len(found[7][0]) == 40 and found[1 << 15][1] == 1 and found[7][1] > 3
+
+
+def test_checks_leave_no_shuffle_files(spark):
+    from kinmatch.operators import guards
+
+    files = lambda: {x for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").splitlines() if "/shuffle_" in x}
+    before = files()
+    guards.forbid(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n")), (F.col("n") > 1000, "too many"))
+    assert not [x for x in files() - before if x.endswith(".data")]
